@@ -1,6 +1,7 @@
 """Language identification by a bidirectional gated recurrent network over bytes, in numpy.
 
-The network reads segments of ``SEGMENT`` bytes in both directions, labels every byte position
+Gates use the piecewise linear sigmoid ``clip(x/4 + 1/2, 0, 1)`` and candidates ``x / (1 + |x|)``,
+which cost a quarter of exact ones in numpy.  The network reads segments of ``SEGMENT`` bytes in both directions, labels every byte position
 with a distribution over languages, and a document's probabilities are the mean over all its
 positions.  It is trained by backpropagation through time on a bounded sample: at most
 ``sample_docs`` labelled rows with one passage of at most ``PASSAGE`` characters each, spread
@@ -55,7 +56,8 @@ def _forward(model: dict[str, np.ndarray], d: str, steps: np.ndarray) -> tuple[n
     for t, byte in enumerate(steps):
         a, g = x[:, byte], u @ h + c
         zr = np.clip(0.25 * (a[: 2 * n] + g[: 2 * n]) + 0.5, 0, 1)
-        new = np.tanh(a[2 * n :] + zr[n:] * g[2 * n :])
+        raw = a[2 * n :] + zr[n:] * g[2 * n :]
+        new = raw / (1 + np.abs(raw))
         tape.append((h, zr, g[2 * n :], new))
         states[t] = h = new + zr[:n] * (h - new)
     return states, tape
@@ -65,12 +67,13 @@ def _backward(model: dict[str, np.ndarray], d: str, steps: np.ndarray, tape: lis
     u = model[f"u{d}"]
     n = u.shape[1]
     dh = np.zeros_like(into[0])
+    das = np.empty((len(steps), 3 * n, dh.shape[1]), STEP)
     for t in range(len(steps) - 1, -1, -1):
         h, zr, gn, new = tape[t]
         z, r = zr[:n], zr[n:]
         dh = dh + into[t]
-        da = np.empty((3 * n, dh.shape[1]), STEP)
-        dn = dh * (1 - z) * (1 - new * new)
+        da = das[t]
+        dn = dh * (1 - z) * (1 - np.abs(new)) ** 2
         open_ = (zr > 0) & (zr < 1)
         da[:n] = dh * (h - new) * 0.25 * open_[:n]
         da[n : 2 * n] = dn * gn * 0.25 * open_[n:]
@@ -79,11 +82,13 @@ def _backward(model: dict[str, np.ndarray], d: str, steps: np.ndarray, tape: lis
         dg[2 * n :] *= r
         grad[f"u{d}"] += dg @ h.T
         grad[f"c{d}"] += dg.sum(1, keepdims=True)
-        np.add.at(grad[f"x{d}"].T, steps[t], da.T)
         dh = dh * z + u.T @ dg
+    flat = steps.reshape(-1)
+    for k in range(3 * n):
+        grad[f"x{d}"][k] += np.bincount(flat, das[:, k].reshape(-1), 256)
 
 
-def train(segments: np.ndarray, labels: np.ndarray, n_out: int, hidden: int = 6, rounds: int = 220, batch: int = 128, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
+def train(segments: np.ndarray, labels: np.ndarray, n_out: int, hidden: int = 6, rounds: int = 200, batch: int = 128, rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
     """Adam over random batches of (segments, bytes); every position has its segment's label."""
     model, rng = new_model(n_out, hidden, seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in model.items()}
@@ -129,7 +134,7 @@ class Reader:
     def _read(self, d: str, steps: np.ndarray) -> Iterator[np.ndarray]:
         x, u, c, _, n = self.parts[d]
         h = np.zeros((n, steps.shape[1]), STEP)
-        a, g, new = np.empty((3 * n, steps.shape[1]), STEP), np.empty((3 * n, steps.shape[1]), STEP), np.empty_like(h)
+        a, g, new, raw = np.empty((3 * n, steps.shape[1]), STEP), np.empty((3 * n, steps.shape[1]), STEP), np.empty_like(h), np.empty_like(h)
         for byte in steps:
             np.take(x, byte, axis=1, out=a, mode="clip")
             np.matmul(u, h, out=g)
@@ -139,7 +144,9 @@ class Reader:
             np.add(g[2 * n :], c, out=new)
             new *= zr[n:]
             new += a[2 * n :]
-            np.tanh(new, out=new)
+            np.abs(new, out=raw)
+            raw += 1
+            new /= raw
             h -= new
             h *= zr[:n]
             h += new
