@@ -132,7 +132,7 @@ def shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, k: int) -> tuple[
     for m in range(1, k):
         rows = np.flatnonzero(count == m)
         if len(rows):
-            h = np.full(len(rows), U(m) * U(0xA0761D6478BD642F), U)
+            h = np.full(len(rows), (m * 0xA0761D6478BD642F) & (2**64 - 1), U)
             for j in range(m):
                 h = h * BASE + hashes[first[rows] + j]
             out.append(mix(h ^ U(0xE7037ED1A0B428DB)))

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyforge.llm import langid, mixing
+from tallyforge.llm import langid, mixing, ngram_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -22,8 +26,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_language_id": op8_language_id, "op10_mixing": op10_mixing}
+    return {"op2_ngram_join": op2_ngram_join, "op8_language_id": op8_language_id, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.ORACLE}
+    return {"op2_ngram_join": ngram_join.ORACLE, "op10_mixing": mixing.ORACLE}
