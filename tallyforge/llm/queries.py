@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import ann, langid, mixing, ngram_join
+from tallyforge.llm import ann, langid, mixing, ngram_join, sentence_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -31,8 +35,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_join": op2_ngram_join, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
+    return {"op2_ngram_join": op2_ngram_join, "op5_sentence_spans": op5_sentence_spans, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": ngram_join.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op2_ngram_join": ngram_join.ORACLE, "op5_sentence_spans": sentence_spans.ORACLE, "op10_mixing": mixing.ORACLE}
