@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import ann, hmm_lm, langid, mixing, ngram_join, sentence_spans
+from tallyforge.llm import ann, hmm_lm, langid, mixing, ngram_join, pii, sentence_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_join": op2_ngram_join, "op4_lm_score": op4_lm_score, "op5_sentence_spans": op5_sentence_spans, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
+    return {"op2_ngram_join": op2_ngram_join, "op3_pii": op3_pii, "op4_lm_score": op4_lm_score, "op5_sentence_spans": op5_sentence_spans, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
