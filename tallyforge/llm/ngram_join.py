@@ -9,8 +9,9 @@ A document's set holds its distinct five-word shingles (64-bit hashes).  Two ske
   |A| // 3 + 1 *non-empty* cells of either document at least one is equal in both, so joining these
   cells loses no link; no two documents meet because a cell is empty in both.  Bands are a factor 4
   wide; a document near the upper end of its band also appears in the next one.
-* A *bit sketch* of 2048 bits, each the parity of the shingles hashed to it: the Hamming distance of
-  two bit sketches is a lower bound of the symmetric difference and discards candidates unread.
+* A *bit sketch* of at least two bits for each shingle, each the parity of the shingles hashed to it: the
+  Hamming distance of two bit sketches is a lower bound of the symmetric difference and discards candidates
+  unread.  Lengths are powers of two, so the longer of two sketches folds onto the shorter by XOR.
 
 What is left is verified on the whole sets: 100 * intersection >= 75 * union.
 
@@ -48,7 +49,7 @@ from tallyforge.operators.components import connected_components
 from tallyforge.plans.scratch import staged
 
 K, NUM, DEN = 5, 75, 100
-BITS = 2048
+BITS = 256
 CAP = 48
 
 
@@ -69,13 +70,14 @@ def _segments(op: np.ufunc, x: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 def _bit_sketches(h: np.ndarray, edge: np.ndarray) -> pa.Array:
-    n = len(edge) - 1
-    bits = np.zeros((n, BITS), bool)
-    at = (h >> U(40)).astype(np.int64) % BITS
-    for i in range(n):
-        bits[i] = np.bincount(at[edge[i] : edge[i + 1]], minlength=BITS) & 1
-    packed = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (BITS // 64)), pa.array(packed))
+    at = (h >> U(32)).astype(np.int64)
+    out = []
+    for i in range(len(edge) - 1):
+        size = max(BITS, 1 << int(2 * (edge[i + 1] - edge[i]) - 1).bit_length())
+        odd = (np.bincount(at[edge[i] : edge[i + 1]] % size, minlength=size) & 1).astype(np.uint8)
+        out.append(np.packbits(odd).view(np.int64))
+    stops = np.cumsum([0, *map(len, out)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate(out) if out else np.empty(0, np.int64)))
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +149,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFram
     """The pairs (a, b) of representatives that are linked."""
     m = members.where("doc_id = rep").select("rep", "n", "bits")
     a, b = m.toDF("a", "na", "ba"), m.toDF("b", "nb", "bb")
-    hamming = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, F.size(x)), lambda u, v: u.bitwiseXOR(v))
+    fold = lambda x, y: F.when(F.size(x) > F.size(y), half(F.col(x))).otherwise(F.col(x))
+    hamming = F.aggregate(F.zip_with(fold("ba", "bb"), fold("bb", "ba"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sized = pairs.join(a, "a").join(b, "b").where("least(na, nb) * 100 >= greatest(na, nb) * 75")
     near = staged(sized.where(7 * hamming <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb"), "near")
     used = staged(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "used")
