@@ -92,20 +92,27 @@ def nearest(vectors: DataFrame, query: Column, k: int = 20, id_col: str = "vec_i
     rows = rows.where(F.size("v") == dim)
     rotate = rotation(dim)
 
-    def pack(per: int, with_codes: bool):
+    def pack(per: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+
+            def block() -> pa.RecordBatch:
+                t = pa.Table.from_batches(held).combine_chunks()
+                v = _matrix(t.column("v").combine_chunks(), dim, np.float64)
+                parts = [t.column("id").to_numpy().tobytes(), v.tobytes(), *(x.tobytes() for x in encode(v, rotate))]
+                return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], ["ids", "vs", "codes", "norm", "fit"])
+
             for b in batches:
-                for at in range(0, b.num_rows, per):
-                    s = b.slice(at, per)
-                    v = _matrix(s.column("v"), dim, np.float64)
-                    parts = [s.column("id").to_numpy().tobytes(), v.tobytes()]
-                    if with_codes:
-                        parts += [x.tobytes() for x in encode(v, rotate)]
-                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in parts], ["ids", "vs", "codes", "norm", "fit"][: len(parts)])
+                held.append(b)
+                if sum(x.num_rows for x in held) >= per:
+                    yield block()
+                    held.clear()
+            if sum(x.num_rows for x in held):
+                yield block()
 
         return run
 
-    data = rows.select("id", "v").mapInArrow(pack(BLOCK, True), "ids binary, vs binary, codes binary, norm binary, fit binary")
+    data = rows.select("id", "v").mapInArrow(pack(BLOCK), "ids binary, vs binary, codes binary, norm binary, fit binary")
     queries = rows.where("q").select("id", "v", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"))
 
     def query_blocks(t: pa.Table) -> pa.Table:

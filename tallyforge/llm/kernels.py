@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 18
+ROWS = 512
 U = np.uint64
 SEP = np.zeros(256, bool)
 SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -24,6 +25,13 @@ BASE = U(0x9E3779B97F4A7C15)
 BASE_INV = U(pow(int(BASE), -1, 1 << 64))
 
 
+def narrow_batches(spark) -> None:
+    """Let Spark hand texts to Python by at most ROWS rows, not 10,000: a batch is held by the JVM and by Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS:
+        spark.conf.set(key, str(ROWS))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

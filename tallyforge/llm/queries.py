@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm import ann, hmm_lm, langid, line_dedup, mixing, ngram_join, pii, sentence_spans
+from tallyforge.llm.kernels import narrow_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    narrow_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
