@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import ann, hmm_lm, langid, line_dedup, mixing, ngram_join, pii, sentence_spans
+from tallyforge.llm import ann, decontaminate, hmm_lm, langid, line_dedup, mixing, ngram_join, pii, sentence_spans
 from tallyforge.llm.kernels import narrow_batches
 
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_join": op2_ngram_join, "op3_pii": op3_pii, "op4_lm_score": op4_lm_score, "op5_sentence_spans": op5_sentence_spans, "op7_line_dedup": op7_line_dedup, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
+    return {"op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_pii": op3_pii, "op4_lm_score": op4_lm_score, "op5_sentence_spans": op5_sentence_spans, "op7_line_dedup": op7_line_dedup, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
