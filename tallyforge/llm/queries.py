@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import ann, decontaminate, hmm_lm, langid, line_dedup, mixing, ngram_join, pii, sentence_spans
+from tallyforge.llm import ann, decontaminate, hmm_lm, langid, line_dedup, mixing, ngram_join, pii, sentence_spans, suffix_dedup
 from tallyforge.llm.kernels import narrow_batches
 
 
@@ -36,6 +36,10 @@ def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_pii": op3_pii, "op4_lm_score": op4_lm_score, "op5_sentence_spans": op5_sentence_spans, "op7_line_dedup": op7_line_dedup, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
+    return {"op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_pii": op3_pii, "op4_lm_score": op4_lm_score, "op5_sentence_spans": op5_sentence_spans, "op6_suffix_dedup": op6_suffix_dedup, "op7_line_dedup": op7_line_dedup, "op8_language_id": op8_language_id, "op9_nearest": op9_nearest, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
