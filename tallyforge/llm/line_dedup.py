@@ -121,6 +121,18 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc
     return run
 
 
+def _most(counted: DataFrame, n: int) -> DataFrame:
+    """The rows with the largest c, at most n: those from the lowest power of two that lets so few through."""
+    sizes = counted.groupBy(F.floor(F.log2("c")).alias("e")).count().orderBy(F.desc("e")).collect()
+    least, total = 1 << 62, 0
+    for e, k in sizes:
+        total += k
+        if total > n:
+            break
+        least = 1 << e
+    return counted.where(F.col("c") >= least)
+
+
 def _bit(size: int):
     return F.pmod(F.xxhash64("doc_id", "line"), F.lit(size))
 
@@ -174,8 +186,8 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = staged(every.groupBy("fp").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "line")).alias("first")).where("c > 1"), "groups")
     copies = every.join(groups, "fp").where("struct(doc_id, line) <> first").select("doc_id", "line")
 
-    often = seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
-    again = groups.orderBy(F.desc("c"), "fp").limit(REPEATED).select("fp", "first.doc_id", "first.line").toArrow()
+    often = _most(staged(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("c").alias("c")), "often"), FREQUENT).toArrow()
+    again = _most(groups, REPEATED).select("fp", "first.doc_id", "first.line").toArrow()
     tokens, counts = often.column("token").to_numpy().view(U), often.column("c").to_numpy()
     order, by_fp = np.argsort(tokens), np.argsort(again.column("fp").to_numpy())
     lists = [again.column(c).to_numpy()[by_fp] for c in ("fp", "doc_id", "line")]
