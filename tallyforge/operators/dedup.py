@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.plans.scratch import staged
+
 Order = Sequence[Column | str]
 
 
@@ -86,7 +88,7 @@ def numbered(df: DataFrame, order: Order, name: str, offset: Column | int = 0) -
     """Consecutive numbers from offset + 1 in the given order, without a single-partition window.
 
     Rows are range-partitioned and numbered inside each partition; only one count for each partition is summed up."""
-    parted = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    parted = staged(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "numbered")
     parted = parted.withColumn("_rn", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     counts = parted.groupBy(F.col("_p").alias("_q")).agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_q", "_before")
