@@ -16,8 +16,8 @@ stay, so stray short lines of clean documents are left alone.
 
 Scale: text is scanned three times and not shuffled; prefixes (about a quarter of the tokens) are shuffled once.  The
 many copies of a frequent line are skipped by a bounded list of first occurrences; further copies only repeat
-candidates.  Token sets are sent only for lines that pass a Bloom filter of the candidate lines, of at most
-``BLOOM`` bits; a false positive costs a row.
+candidates.  Token sets are sent only for lines that pass a Bloom filter of the candidate lines, of
+bounded size; a false positive costs a row.
 
 Defined cases: null and empty texts have no lines; rows that share a doc_id are one document's; the doc_id null rows
 lose nothing.
@@ -25,7 +25,6 @@ lose nothing.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.llm.bloom import Bloom
 from tallyforge.llm.kernels import FOLDED, SEP, U, distinct_sets, mix, owner, pieces, rolling, runs, shingles, signed, span_hash, texts
 from tallyforge.plans.scratch import staged
 
 K = 5
-FREQUENT, REPEATED, NEXT, BLOOM = 1 << 16, 1 << 16, 7, 1 << 26
+FREQUENT, REPEATED, NEXT = 1 << 16, 1 << 16, 7
 
 
 def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -133,28 +133,15 @@ def _most(counted: DataFrame, n: int) -> DataFrame:
     return counted.where(F.col("c") >= least)
 
 
-def _bit(size: int):
-    return F.pmod(F.xxhash64("doc_id", "line"), F.lit(size))
-
-
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(doc_id, line, h)`` for the wanted lines, and a few others."""
-    n = wanted.count()
-    size = min(BLOOM, 1 << max(10, math.ceil(math.log2(16 * n + 1))))
-    words = wanted.select(_bit(size).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
-    bloom = np.zeros(size // 64 + 1, np.int64)
-    bloom[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
-
-    def passed(at: pa.ChunkedArray) -> np.ndarray:
-        at = at.to_numpy(zero_copy_only=False)
-        return (shared.value[at >> 6] >> (at & 63)) & 1 == 1
+    bloom = Bloom(wanted, ["doc_id", "line"])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(passed(b.column("at")))).drop_columns(["at"])
+            yield b.filter(pa.array(bloom.passed(b.column("at")))).drop_columns(["at"])
 
-    numbered = docs.where("doc_id IS NOT NULL").mapInArrow(_numbered, "doc_id long, line int, h array<long>").withColumn("at", _bit(size))
+    numbered = docs.mapInArrow(_numbered, "doc_id long, line int, h array<long>").withColumn("at", bloom.at())
     return staged(numbered.mapInArrow(sift, "doc_id long, line int, h array<long>"), "sets")
 
 

@@ -19,12 +19,14 @@ No group is expanded into pairs.  Equal sets become one representative first.  I
 bucket every member is paired with the smallest only; verified links give components, and just
 the buckets whose members are still in different components go on.  There, buckets of at most
 ``CAP`` members are compared across components.  Members of larger buckets (a passage that very many
-documents share) are joined again on *all* their non-empty cells: two linked documents agree on at
-least E - |A| // 3 of E cells, so one with fewer than that in large buckets meets its partners in
-a small bucket and leaves the large ones.  Only documents that consist mainly of such content
-stay, and are compared across components; that last step is quadratic in their number.
-
-Scale: three scans of the text and no shuffle of it (one on doc_id if many documents repeat);
+documents share) are joined again on more of their cells (all, where large buckets take up much of them).  Of
+the first t cells of a document, one that is linked and emits as far agrees on at least t - |A| // 3, so if fewer than that
+are in large buckets the two meet in a small one.  Only documents for which this fails stay in their large buckets: those that
+emit all their cells are compared among themselves, any others with all members.  These are documents that
+consist mainly of very common content; that last step is quadratic in their number.
+
+Scale: four scans of the text and no shuffle of it (one on doc_id if many documents repeat); bounded Bloom filters
+pick the documents whose cells or sets are needed again;
 about 0.4 rows of 16 bytes for each shingle are shuffled once by cell value.  A hot set is
 pre-aggregated; a hot near-copy group spreads over |A| / 3 cell values.  Intermediate tables are
 written to the shared scratch folder.  Hashes are 64 bits, so a wrong or lost link needs a collision.
@@ -44,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tallyforge.llm.bloom import Bloom
 from tallyforge.llm.kernels import U, distinct_sets, mix, pieces, shingles, signed, texts, words
 from tallyforge.operators.components import connected_components
 from tallyforge.plans.scratch import staged
@@ -102,14 +105,18 @@ def cells(h: np.ndarray, j: int) -> np.ndarray:
     return mix(np.bitwise_xor.reduceat(h, start) ^ mix(cell[start] * U(64) + U(j)))
 
 
-def _cells(every: bool):
-    """Rows (sig, rep, n, spare): the first n // 3 + 1 cells, or all; spare is how many cells a partner surely shares."""
+def _cells(hot: Bloom | None = None, full: Bloom | None = None):
+    """Rows (sig, rep): the first n // 3 + 1 cells.  With filters: a quarter more for documents in ``hot`` and all for
+    those in ``full``, with the band, and how many cells a partner that emits as far surely shares (negative: all emitted)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if hot:
+            batches = (b.filter(pa.array(hot.passed(b.column("hot")))) for b in batches)
         for b in pieces(batches):
             h, edge = sets_of(b)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            sig, rep, size, bands, spare = [], [], [], [], []
+            every = full.passed(b.column("full")) if full else np.zeros(b.num_rows, bool)
+            sig, rep, bands, spare = [], [], [], []
             for i in range(b.num_rows):
                 n = int(edge[i + 1] - edge[i])
                 if not n:
@@ -117,15 +124,15 @@ def _cells(every: bool):
                 own = band(n)
                 for j in (own, own + 1) if 3 * 4 ** (own + 1) <= 4 * n else (own,):
                     c = cells(h[edge[i] : edge[i + 1]], j)
-                    c = c if every else c[: n // 3 + 1]
+                    c = c if every[i] else c[: n // 3 + 1 + (n // 12 + 3 if hot else 0)]
                     sig.append(c)
                     rep.append(np.full(len(c), ids[i], np.int64))
-                    if every:
-                        bands.append(np.full(len(c), j, np.int32))
+                    if hot:
+                        bands.append(np.full(len(c), 2 * j + every[i], np.int32))
                         spare.append(np.full(len(c), len(c) - n // 3, np.int32))
             if sig:
                 cols = {"sig": pa.array(signed(np.concatenate(sig))), "rep": pa.array(np.concatenate(rep))}
-                if every:
+                if hot:
                     cols |= {"band": pa.array(np.concatenate(bands)), "spare": pa.array(np.concatenate(spare))}
                 for at in range(0, len(cols["sig"]), 1 << 16):
                     yield pa.RecordBatch.from_arrays([c.slice(at, 1 << 16) for c in cols.values()], list(cols))
@@ -133,10 +140,13 @@ def _cells(every: bool):
     return emit
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches):
-        h, edge = sets_of(b)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(signed(h)))], ["rep", "h"])
+def _sets(used: Bloom):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(x.filter(pa.array(used.passed(x.column("used")))) for x in batches):
+            h, edge = sets_of(b)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(signed(h)))], ["rep", "h"])
+
+    return emit
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -145,7 +155,7 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.withColumn("c", F.count("*").over(w)).withColumn("center", F.min("rep").over(w)).where("c > 1")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, again: bool) -> DataFrame:
     """The pairs (a, b) of representatives that are linked."""
     m = members.where("doc_id = rep").select("rep", "n", "bits")
     a, b = m.toDF("a", "na", "ba"), m.toDF("b", "nb", "bb")
@@ -154,24 +164,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFram
     hamming = F.aggregate(F.zip_with(fold("ba", "bb"), fold("bb", "ba"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sized = pairs.join(a, "a").join(b, "b").where("least(na, nb) * 100 >= greatest(na, nb) * 75")
     near = staged(sized.where(7 * hamming <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb"), "near")
-    used = staged(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "used")
-    sets = staged(docs.join(used, "doc_id", "left_semi").mapInArrow(_sets, "rep long, h array<long>").dropDuplicates(["rep"]), "sets")
+    used = Bloom(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), ["doc_id"])
+    rows = docs.withColumn("used", used.at()).mapInArrow(_sets(used), "rep long, h array<long>")
+    sets = staged(rows.dropDuplicates(["rep"]) if again else rows, "sets")
     both = near.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b").withColumn("same", F.size(F.array_intersect("ha", "hb")))
     return both.where(f"{DEN} * same >= {NUM} * (na + nb - same)").select("a", "b")
 
 
 def _across(hits: DataFrame, comp: DataFrame) -> DataFrame:
     """Rows of the buckets whose members are in different components, with the component."""
-    known = hits.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
-    known = staged(known, "known")
+    known = hits.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "rep", "c", F.coalesce("component", "rep").alias("comp"))
     open_ = known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("sig")
     return known.join(open_, "sig", "left_semi")
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Pairs in a bucket across components."""
-    l, r = rows.select("sig", F.col("rep").alias("a"), F.col("comp").alias("ca")), rows.select("sig", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    return l.join(r, (l["sig"] == r["sig"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
+def _pairs(rows: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """Pairs in a bucket across components, of the rows among themselves or with others."""
+    l, r = rows.select("sig", F.col("rep").alias("a"), F.col("comp").alias("ca")), (others or rows).select("sig", F.col("rep").alias("b"), F.col("comp").alias("cb"))
+    order = F.col("a") != F.col("b") if others else F.col("a") < F.col("b")
+    both = l.join(r, (l["sig"] == r["sig"]) & order & (F.col("ca") != F.col("cb")))
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -182,23 +194,29 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = staged(found.join(group, ["n", "fa", "fb"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), F.when(F.col("doc_id") == F.col("rep"), F.col("bits")).alias("bits")), "members")
     again = staged(members.where("doc_id <> rep OR n = 0").select("doc_id").distinct(), "again")
     first = docs.where("doc_id IS NOT NULL").join(again, "doc_id", "left_anti")
-    hits = staged(_shared(first.mapInArrow(_cells(False), "sig long, rep long").distinct() if _repeats(members) else first.mapInArrow(_cells(False), "sig long, rep long")), "hits")
-    one = members.where("doc_id = rep").dropDuplicates(["rep"])
+    twins = _repeats(members)
+    base = first.mapInArrow(_cells(), "sig long, rep long")
+    hits = staged(_shared(base.distinct() if twins else base), "hits")
+    one = members.where("doc_id = rep").dropDuplicates(["rep"]) if twins else members.where("doc_id = rep")
 
     stars = hits.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    edges = staged(_verified(stars, docs, one), "links")
+    edges = staged(_verified(stars, docs, one, twins), "links")
     comp = connected_components(edges, "a", "b")
 
     rest = staged(_across(hits, comp), "rest")
     pairs = _pairs(rest.where(F.col("c") <= CAP))
-    hot = staged(rest.where(F.col("c") > CAP).select(F.col("rep").alias("doc_id"), "comp").distinct(), "hot")
+    open_ = rest.where(F.col("c") > CAP).select(F.col("rep").alias("doc_id"), "comp").distinct()
+    load = hits.where(F.col("c") > CAP).groupBy(F.col("rep").alias("doc_id")).agg(F.count("*").alias("h"))
+    hot = staged(open_.join(load, "doc_id").join(one.select("doc_id", "n"), "doc_id").select("doc_id", "comp", (F.col("h") * 8 > F.col("n") / 3 + 1).alias("full")), "hot")
     if hot.take(1):
-        far = first.join(hot, "doc_id", "left_semi").mapInArrow(_cells(True), "sig long, rep long, band int, spare int")
-        wide = staged(_shared(far).join(hot.withColumnRenamed("doc_id", "rep"), "rep"), "wide")
+        some, full = Bloom(hot, ["doc_id"]), Bloom(hot.where("full"), ["doc_id"])
+        far = first.withColumns({"hot": some.at(), "full": full.at()}).mapInArrow(_cells(some, full), "sig long, rep long, band int, spare int")
+        wide = staged(_shared(far).drop("center").join(hot.select(F.col("doc_id").alias("rep"), "comp"), "rep"), "wide")
         many = wide.where(F.col("c") > CAP)
-        bound = many.groupBy("rep", "band").agg(F.count("*").alias("m"), F.first("spare").alias("s")).where("m >= s").select("rep", "band")
-        pairs = pairs.union(_pairs(wide.where(F.col("c") <= CAP))).union(_pairs(many.join(bound, ["rep", "band"], "left_semi")))
-    more = staged(_verified(pairs.distinct().join(stars, ["a", "b"], "left_anti"), docs, one), "links")
+        short = staged(many.groupBy("rep", "band").agg(F.count("*").alias("m"), F.first("spare").alias("s")).where("m >= s").select("rep", "band"), "short")
+        whole, part = (many.join(short.where(f"band % 2 = {k}"), ["rep", "band"], "left_semi") for k in (1, 0))
+        pairs = pairs.union(_pairs(wide.where(F.col("c") <= CAP))).union(_pairs(whole)).union(_pairs(part, many))
+    more = staged(_verified(pairs.distinct().join(stars, ["a", "b"], "left_anti"), docs, one, twins), "links")
     if more.take(1):
         comp = connected_components(edges.union(more), "a", "b")
     return members, comp

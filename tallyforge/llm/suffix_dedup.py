@@ -29,7 +29,6 @@ no rows give no rows.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.llm.bloom import Bloom
 from tallyforge.llm.kernels import U, mix, owner, pieces, powers, rolling, runs, signed, span_hash, texts
 from tallyforge.plans.scratch import staged
 
@@ -44,7 +44,7 @@ LENGTH, K = 200, 80
 W = LENGTH - K + 1
 BLOCK = 8
 SURE = (LENGTH - BLOCK + 1) // BLOCK
-BIG, SYMBOLS, BLOOM = 4096, 60_000, 1 << 26
+BIG, SYMBOLS = 4096, 60_000
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -174,10 +174,6 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, ["a", "doc_id", "first", "shape", "raw"])
 
 
-def _bit(size: int):
-    return F.pmod(F.xxhash64("doc_id", "first"), F.lit(size))
-
-
 def strings_of(raw: list[bytes], rel: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every start of every region: the region, the start relative to the anchor, and the string's hash."""
     buf = np.frombuffer(b"".join(raw), np.uint8)
@@ -279,22 +275,16 @@ def repeated(docs: DataFrame) -> DataFrame:
     settled = hits.where("cr > 1").select("doc_id", F.col("first").alias("start"), (F.col("first") + F.shiftright("shape", 16) + LENGTH).alias("end"))
     groups = hits.groupBy("a").agg(F.min("cr").alias("least"), F.sum(F.when(F.col("nth") == 1, 1)).alias("regions")).where("least = 1 AND regions > 1").select("a", "regions")
     wanted = staged(hits.where("nth = 1").select("a", "doc_id", "first").join(groups, "a"), "wanted")
-    n = wanted.count()
-    if not n:
+    if not wanted.take(1):
         return settled
-    size = min(BLOOM, 1 << max(10, math.ceil(math.log2(16 * n + 1))))
-    words = wanted.select(_bit(size).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
-    bloom = np.zeros(size // 64 + 1, np.int64)
-    bloom[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+    bloom = Bloom(wanted, ["doc_id", "first"])
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = b.column("at").to_numpy()
-            yield b.filter(pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1)).drop_columns(["at"])
+            yield b.filter(pa.array(bloom.passed(b.column("at")))).drop_columns(["at"])
 
     kinds = "a long, doc_id long, first long, shape int, raw binary"
-    found = docs.mapInArrow(_regions, kinds).withColumn("at", _bit(size)).mapInArrow(sift, kinds)
+    found = docs.mapInArrow(_regions, kinds).withColumn("at", bloom.at()).mapInArrow(sift, kinds)
     found = staged(found.join(wanted, ["a", "doc_id", "first"]), "regions")
     small = found.where(F.col("regions") <= BIG).drop("regions").select("a", "doc_id", "first", "shape", "raw")
     by_suffix = small.repartition(F.col("a")).sortWithinPartitions("a").mapInArrow(_suffixes, "doc_id long, start long, end long")
