@@ -9,15 +9,17 @@ stay, so stray short lines of clean documents are left alone.
   count) come last, others by hash, the same order everywhere.  Two lines with J >= 0.75 share a token among the
   first n - ceil(0.75 n) + 1 of each, so these prefixes are joined; at a shared token the positions bound the
   overlap that is still possible, and lengths must be within 3/4.
-* In each token's bucket a line is first compared with the earliest member, then, if it found no match, with the
-  next ``NEXT``, and only lines that are still unmatched are compared with all earlier members.  A large
-  group of variants of one line is thus mostly settled in linear work, and no match is missed.
-* Verification intersects the whole token sets.
-
-Scale: text is scanned three times and not shuffled; prefixes (about a quarter of the tokens) are shuffled once.  The
+* In buckets of at most ``CAP`` lines every line is compared with the earlier ones.  Tokens of larger buckets count
+  as frequent too: all lines in such buckets are joined once more with these tokens last, which leaves large
+  buckets only to lines that consist of them.  There a line is compared with the first ``NEXT`` and, if it found no
+  match, with all earlier members.  A large group of variants of one line is thus mostly settled in linear work.
+* Parity sketches of 128 bits, whose Hamming distance is at most the symmetric difference, discard most
+  candidates; the whole token sets of the others are intersected.
+
+Scale: text is scanned a few times and not shuffled; prefixes (about a quarter of the tokens) are shuffled once.  The
 many copies of a frequent line are skipped by a bounded list of first occurrences; further copies only repeat
-candidates.  Token sets are sent only for lines that pass a Bloom filter of the candidate lines, of
-bounded size; a false positive costs a row.
+candidates.  Frequent tokens, lines to join again and lines to verify are known by Bloom filters of bounded size; a
+false positive costs a row.
 
 Defined cases: null and empty texts have no lines; rows that share a doc_id are one document's; the doc_id null rows
 lose nothing.
@@ -37,7 +39,7 @@ from tallyforge.llm.kernels import FOLDED, SEP, U, distinct_sets, mix, owner, pi
 from tallyforge.plans.scratch import staged
 
 K = 5
-FREQUENT, REPEATED, NEXT = 1 << 16, 1 << 16, 7
+FREQUENT, REPEATED, CAP, NEXT = 1 << 16, 1 << 16, 8, 8
 
 
 def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,6 +71,16 @@ def _fingerprints(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(h), edge[:-1]) + np.diff(edge).astype(U)) if len(edge) > 1 else np.empty(0, U)
 
 
+_SCANNED = ["doc_id", "line", "n", "fp", "s0", "s1", "token", "c"]
+
+
+def _parity(h: np.ndarray, edge: np.ndarray, k: int) -> np.ndarray:
+    """64 bits for each line: the parity of its tokens hashed to each; their Hamming distance is at most the symmetric difference."""
+    own = (h >> U(20)) & U(1) == U(k)
+    bit = np.where(own, U(1) << ((h >> U(21)) & U(63)), U(0))
+    return signed(np.bitwise_xor.reduceat(bit, edge[:-1])) if len(edge) > 1 else np.empty(0, np.int64)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, line, n, fp), and rows (token, c) of tokens that occur three times or more in a stretch."""
     held, size = [], 0
@@ -76,13 +88,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def frequent() -> pa.RecordBatch:
         t, c = np.unique(np.concatenate(held), return_counts=True)
         t, c = t[c > 2], c[c > 2]
-        none = [pa.nulls(len(t), x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64())]
-        return pa.RecordBatch.from_arrays([*none, pa.array(signed(t)), pa.array(c)], ["doc_id", "line", "n", "fp", "token", "c"])
+        none = [pa.nulls(len(t), x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())]
+        return pa.RecordBatch.from_arrays([*none, pa.array(signed(t)), pa.array(c)], _SCANNED)
 
     for b in pieces(batches):
         h, edge, row, number = line_sets(b)
         ids = b.column("doc_id").take(pa.array(row))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(np.diff(edge).astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], ["doc_id", "line", "n", "fp", "token", "c"])
+        yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(np.diff(edge).astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), *(pa.array(_parity(h, edge, k)) for k in (0, 1)), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], _SCANNED)
         held.append(h)
         size += len(h)
         if size > 2_000_000:
@@ -92,8 +104,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc: np.ndarray, first_line: np.ndarray):
-    """Rows (token, doc_id, line, ni): the prefix tokens, with the set's size and the position packed."""
+def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc: np.ndarray, first_line: np.ndarray, hot: Bloom | None = None, wanted: Bloom | None = None):
+    """Rows (token, doc_id, line, ni): the prefix tokens, with the set's size and the position packed.
+
+    With filters: of the ``wanted`` lines, with the ``hot`` tokens last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
@@ -108,6 +122,9 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc
             own = np.repeat(np.arange(len(n)), n)
             k = np.minimum(np.searchsorted(tokens, h), max(len(tokens) - 1, 0))
             often = np.where(tokens[k] == h, counts[k], 0) if len(tokens) else np.zeros(len(h), np.int64)
+            if hot:
+                copy |= ~wanted.has(ids, number)
+                often += hot.has(signed(h)).astype(np.int64) << 40
             if often.any():
                 order = np.lexsort((h, often, own))
                 h = h[order]
@@ -133,23 +150,19 @@ def _most(counted: DataFrame, n: int) -> DataFrame:
     return counted.where(F.col("c") >= least)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(wanted: Bloom):
     """``(doc_id, line, h)`` for the wanted lines, and a few others."""
-    bloom = Bloom(wanted, ["doc_id", "line"])
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(bloom.passed(b.column("at")))).drop_columns(["at"])
-
-    numbered = docs.mapInArrow(_numbered, "doc_id long, line int, h array<long>").withColumn("at", bloom.at())
-    return staged(numbered.mapInArrow(sift, "doc_id long, line int, h array<long>"), "sets")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches):
+            h, edge, row, number = line_sets(b)
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False)[row]
+            take = wanted.has(ids, number)
+            n = np.diff(edge)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n[take]))).astype(np.int32)), pa.array(signed(h[np.repeat(take, n)])))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[take]), pa.array(number[take].astype(np.int32)), lists], ["doc_id", "line", "h"])
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches):
-        h, edge, row, number = line_sets(b)
-        lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(signed(h)))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(number.astype(np.int32)), lists], ["doc_id", "line", "h"])
+    return run
 
 
 def _fits(ni: str, nj: str) -> str:
@@ -158,17 +171,37 @@ def _fits(ni: str, nj: str) -> str:
     return f"4 * least({n}, {m}) >= 3 * greatest({n}, {m}) AND 7 * (1 + least({n} - {i}, {m} - {j}) - 1 + least({i}, {j})) >= 3 * ({n} + {m})"
 
 
-def _matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``x`` of the pairs (x, y) whose sets have J >= 0.75."""
-    s = sets.select(F.struct("doc_id", "line").alias("id"), "h")
-    both = pairs.join(s.toDF("x", "hx"), "x").join(s.toDF("y", "hy"), "y").withColumn("same", F.size(F.array_intersect("hx", "hy")))
+def _matched(pairs: DataFrame, docs: DataFrame, every: DataFrame) -> DataFrame:
+    """``x`` of the pairs (x, y) whose sets have J >= 0.75: sketches first, then the whole sets of what is left."""
+    k = every.select(F.struct("doc_id", "line").alias("id"), "n", "s0", "s1")
+    both = pairs.join(k.toDF("x", "nx", "a0", "a1"), "x").join(k.toDF("y", "ny", "b0", "b1"), "y")
+    apart = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
+    near = staged(both.where(7 * apart <= F.col("nx") + F.col("ny")).select("x", "y"), "near")
+    if not near.take(1):
+        return near.select("x")
+    bloom = Bloom(near.select("x.*").union(near.select("y.*")))
+    s = staged(docs.mapInArrow(_sets(bloom), "doc_id long, line int, h array<long>"), "sets").select(F.struct("doc_id", "line").alias("id"), "h")
+    both = near.join(s.toDF("x", "hx"), "x").join(s.toDF("y", "hy"), "y").withColumn("same", F.size(F.array_intersect("hx", "hy")))
     return both.where("4 * same >= 3 * (size(hx) + size(hy) - same)").select("x").distinct()
 
 
+def _hits(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets of two lines or more, with the bucket's size and the line's rank in it."""
+    w = Window.partitionBy("token")
+    hits = rows.select("token", F.struct("doc_id", "line").alias("x"), "ni")
+    return hits.withColumn("c", F.count("*").over(w)).where("c > 1").withColumn("rank", F.row_number().over(w.orderBy("x")))
+
+
+def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Pairs of a line and an earlier one of its bucket that the filters let through."""
+    y = y.select("token", F.col("x").alias("y"), F.col("ni").alias("nj"), F.col("rank").alias("ry"))
+    return x.join(y, "token").where(F.expr(f"ry < rank AND {_fits('ni', 'nj')}")).select("x", "y")
+
+
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, line)`` of the lines to remove, and ``(doc_id, line)`` of all lines of five words or more."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    seen = staged(docs.mapInArrow(_scan, "doc_id long, line int, n int, fp long, token long, c long"), "lines")
+    seen = staged(docs.mapInArrow(_scan, "doc_id long, line int, n int, fp long, s0 long, s1 long, token long, c long"), "lines")
     every = seen.where("token IS NULL").select("doc_id", "line", "fp")
     groups = staged(every.groupBy("fp").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "line")).alias("first")).where("c > 1"), "groups")
     copies = every.join(groups, "fp").where("struct(doc_id, line) <> first").select("doc_id", "line")
@@ -178,24 +211,24 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tokens, counts = often.column("token").to_numpy().view(U), often.column("c").to_numpy()
     order, by_fp = np.argsort(tokens), np.argsort(again.column("fp").to_numpy())
     lists = [again.column(c).to_numpy()[by_fp] for c in ("fp", "doc_id", "line")]
-    rows = docs.mapInArrow(_prefixes(tokens[order], counts[order], *lists), "token long, doc_id long, line int, ni long")
-    w = Window.partitionBy("token")
-    hits = rows.select("token", F.struct("doc_id", "line").alias("x"), "ni")
-    hits = hits.withColumn("c", F.count("*").over(w)).where("c > 1").withColumn("rank", F.row_number().over(w.orderBy("x")))
-    hits = staged(hits, "hits")
-
-    found = docs.sparkSession.createDataFrame([], "x struct<doc_id: long, line: int>")
-    sets = _sets(docs, hits.select("x.doc_id", "x.line").distinct())
-    done = None
-    for low, high in ((1, 1), (2, 1 + NEXT), (2 + NEXT, None)):
-        y = hits.where(F.col("rank") >= low).select("token", F.col("x").alias("y"), F.col("ni").alias("nj"), F.col("rank").alias("ry"))
-        y = y.where(F.col("ry") <= high) if high else y
-        x = hits.where(F.col("rank") > low)
-        x = x.join(found, "x", "left_anti") if done is not None else x
-        pairs = x.join(y, "token").where(F.expr(f"ry < rank AND {_fits('ni', 'nj')}")).select("x", "y").distinct()
-        more = staged(_matched(pairs, sets), "matched")
-        found = found.union(more) if done is not None else more
-        done = True
+    known = (tokens[order], counts[order], *lists)
+    kinds = "token long, doc_id long, line int, ni long"
+    hits = staged(_hits(docs.mapInArrow(_prefixes(*known), kinds)), "hits")
+    few = hits.where(F.col("c") <= CAP)
+    pairs = _pairs(few, few)
+    many = hits.where(F.col("c") > CAP)
+    late = None
+    if many.take(1):
+        hot, lines_ = Bloom(many.select("token").distinct()), Bloom(many.select("x.*").distinct())
+        late = staged(_hits(docs.mapInArrow(_prefixes(*known, hot, lines_), kinds)), "late")
+        few = late.where(F.col("c") <= CAP)
+        pairs = pairs.union(_pairs(few, few)).union(_pairs(late.where(F.col("c") > CAP), late.where((F.col("c") > CAP) & (F.col("rank") <= NEXT))))
+    keyed = seen.where("token IS NULL").select("doc_id", "line", "n", "s0", "s1")
+    found = staged(_matched(pairs.distinct(), docs, keyed), "matched")
+    if late is not None:
+        rest = late.where((F.col("c") > CAP) & (F.col("rank") > NEXT + 1)).join(found, "x", "left_anti")
+        far = _pairs(rest, late.where((F.col("c") > CAP) & (F.col("rank") > NEXT)))
+        found = found.union(staged(_matched(far.distinct(), docs, keyed), "matched"))
     return staged(copies.union(found.select("x.doc_id", "x.line")).distinct(), "removed"), every.select("doc_id", "line")
 
 
@@ -221,7 +254,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with the lines taken out of ``text``; other columns are carried along."""
     gone, _ = removed_lines(docs)
     marks = staged(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")), "marks")
-    rows = docs.join(marks, "doc_id", "left")
+    rows = docs.join(marks.hint("merge"), "doc_id", "left")
     touched = rows.where("gone IS NOT NULL")
     schema = touched.drop("gone").schema
     return rows.where("gone IS NULL").drop("gone").unionByName(touched.mapInArrow(_strip, schema))

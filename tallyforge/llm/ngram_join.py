@@ -110,12 +110,10 @@ def _cells(hot: Bloom | None = None, full: Bloom | None = None):
     those in ``full``, with the band, and how many cells a partner that emits as far surely shares (negative: all emitted)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if hot:
-            batches = (b.filter(pa.array(hot.passed(b.column("hot")))) for b in batches)
-        for b in pieces(batches):
+        for b in pieces(hot.filter(batches, "doc_id") if hot else batches):
             h, edge = sets_of(b)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            every = full.passed(b.column("full")) if full else np.zeros(b.num_rows, bool)
+            every = full.has(ids) if full else np.zeros(b.num_rows, bool)
             sig, rep, bands, spare = [], [], [], []
             for i in range(b.num_rows):
                 n = int(edge[i + 1] - edge[i])
@@ -142,7 +140,7 @@ def _cells(hot: Bloom | None = None, full: Bloom | None = None):
 
 def _sets(used: Bloom):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(x.filter(pa.array(used.passed(x.column("used")))) for x in batches):
+        for b in pieces(used.filter(batches, "doc_id")):
             h, edge = sets_of(b)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(signed(h)))], ["rep", "h"])
 
@@ -164,8 +162,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, again: bool
     hamming = F.aggregate(F.zip_with(fold("ba", "bb"), fold("bb", "ba"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sized = pairs.join(a, "a").join(b, "b").where("least(na, nb) * 100 >= greatest(na, nb) * 75")
     near = staged(sized.where(7 * hamming <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb"), "near")
-    used = Bloom(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), ["doc_id"])
-    rows = docs.withColumn("used", used.at()).mapInArrow(_sets(used), "rep long, h array<long>")
+    used = Bloom(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
+    rows = docs.where("doc_id IS NOT NULL").mapInArrow(_sets(used), "rep long, h array<long>")
     sets = staged(rows.dropDuplicates(["rep"]) if again else rows, "sets")
     both = near.join(sets.toDF("a", "ha"), "a").join(sets.toDF("b", "hb"), "b").withColumn("same", F.size(F.array_intersect("ha", "hb")))
     return both.where(f"{DEN} * same >= {NUM} * (na + nb - same)").select("a", "b")
@@ -209,8 +207,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     load = hits.where(F.col("c") > CAP).groupBy(F.col("rep").alias("doc_id")).agg(F.count("*").alias("h"))
     hot = staged(open_.join(load, "doc_id").join(one.select("doc_id", "n"), "doc_id").select("doc_id", "comp", (F.col("h") * 8 > F.col("n") / 3 + 1).alias("full")), "hot")
     if hot.take(1):
-        some, full = Bloom(hot, ["doc_id"]), Bloom(hot.where("full"), ["doc_id"])
-        far = first.withColumns({"hot": some.at(), "full": full.at()}).mapInArrow(_cells(some, full), "sig long, rep long, band int, spare int")
+        some, full = Bloom(hot.select("doc_id")), Bloom(hot.where("full").select("doc_id"))
+        far = first.mapInArrow(_cells(some, full), "sig long, rep long, band int, spare int")
         wide = staged(_shared(far).drop("center").join(hot.select(F.col("doc_id").alias("rep"), "comp"), "rep"), "wide")
         many = wide.where(F.col("c") > CAP)
         short = staged(many.groupBy("rep", "band").agg(F.count("*").alias("m"), F.first("spare").alias("s")).where("m >= s").select("rep", "band"), "short")

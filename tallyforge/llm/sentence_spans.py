@@ -10,8 +10,8 @@ three of 12 are long enough that chance repetition of short sentences doesn't co
 Scale: one row for each span is counted with partial aggregation, so a passage that a third of the
 documents share is one row for each task; the rows go back to their first occurrence by an
 equi-join that adaptive execution splits when a key is hot.  A document's marks are bounded by its own
-sentences; texts are joined with them on doc_id, of which the smaller side is broadcast only
-below Spark's size threshold.
+sentences; texts are joined with them on doc_id by a
+sort-merge join at every size, so that no broadcast depends on the data.
 
 Defined cases: null and empty texts have no sentences and stay; rows that share a doc_id count
 as one document, with the first by text order of positions; no rows give no rows.
@@ -104,7 +104,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """``doc_id, kept, n_sentences, n_removed, n_removed_words``: every document with the text that stays."""
     docs = docs.select("doc_id", "text")
     marks = staged(repeated(docs), "marks")
-    rows = docs.join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
+    rows = docs.join(marks.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
     return rows.mapInArrow(_apply, "doc_id long, kept string, n_sentences long, n_removed long, n_removed_words long")
 
 

@@ -162,16 +162,22 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(cols, ["a", "region", "doc_id", "first", "shape"])
 
 
-def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """As _anchor_rows, with the bytes that the starts cover."""
-    for b in pieces(batches):
-        buf, off = texts(b.column("text"))
-        row, first, more, rel, a, _ = anchors(buf, off)
-        raw = buf.tobytes()
-        ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-        cut = [raw[s : s + x + LENGTH] for s, x in zip(first.tolist(), more.tolist(), strict=True)]
-        cols = [pa.array(signed(a)), pa.array(ids[row]), pa.array(first - off[row]), pa.array((more << 16 | rel).astype(np.int32)), pa.array(cut, pa.binary())]
-        yield pa.RecordBatch.from_arrays(cols, ["a", "doc_id", "first", "shape", "raw"])
+def _regions(bloom: Bloom):
+    """As _anchor_rows for the wanted anchors, with the bytes that the starts cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches):
+            buf, off = texts(b.column("text"))
+            row, first, more, rel, a, _ = anchors(buf, off)
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False)[row]
+            at = first - off[row]
+            take = np.flatnonzero(bloom.has(ids, at))
+            raw = buf.tobytes()
+            cut = [raw[s : s + x + LENGTH] for s, x in zip(first[take].tolist(), more[take].tolist(), strict=True)]
+            cols = [pa.array(signed(a[take])), pa.array(ids[take]), pa.array(at[take]), pa.array((more << 16 | rel)[take].astype(np.int32)), pa.array(cut, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["a", "doc_id", "first", "shape", "raw"])
+
+    return run
 
 
 def strings_of(raw: list[bytes], rel: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,14 +283,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     wanted = staged(hits.where("nth = 1").select("a", "doc_id", "first").join(groups, "a"), "wanted")
     if not wanted.take(1):
         return settled
-    bloom = Bloom(wanted, ["doc_id", "first"])
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(bloom.passed(b.column("at")))).drop_columns(["at"])
-
+    bloom = Bloom(wanted.select("doc_id", "first"))
     kinds = "a long, doc_id long, first long, shape int, raw binary"
-    found = docs.mapInArrow(_regions, kinds).withColumn("at", bloom.at()).mapInArrow(sift, kinds)
+    found = docs.mapInArrow(_regions(bloom), kinds)
     found = staged(found.join(wanted, ["a", "doc_id", "first"]), "regions")
     small = found.where(F.col("regions") <= BIG).drop("regions").select("a", "doc_id", "first", "shape", "raw")
     by_suffix = small.repartition(F.col("a")).sortWithinPartitions("a").mapInArrow(_suffixes, "doc_id long, start long, end long")
@@ -319,7 +320,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` for every document; kept is what stays, as bytes."""
     marks = staged(repeated(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("m")).select("doc_id", F.col("m.start").alias("starts"), F.col("m.end").alias("ends")), "marks")
     empty = F.array().cast("array<long>")
-    rows = docs.select("doc_id", "text").join(marks, "doc_id", "left").select("doc_id", "text", F.coalesce("starts", empty).alias("starts"), F.coalesce("ends", empty).alias("ends"))
+    rows = docs.select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("starts", empty).alias("starts"), F.coalesce("ends", empty).alias("ends"))
     return rows.mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
