@@ -31,13 +31,10 @@ def is_metadata(path: str) -> bool:
 
 
 def files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths below a folder, sorted, in any store."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    found, it = [], root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
-    while it.hasNext():
-        found.append(it.next().getPath().toString())
-    return sorted(found)
+    """Paths in a folder, sorted, in any store; a parquet folder is one path."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    return sorted(s.getPath().toString() for s in found)
 
 
 def record_type(stem: str) -> str:
@@ -71,11 +68,12 @@ def discover(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
 
 def encoding_of(spark: SparkSession, path: str) -> str:
-    """The first encoding that reads the file without a replacement character; decided by the executors."""
-    for e in ENCODINGS[:-1]:
-        if not spark.read.option("encoding", e).text(path).where(F.col("value").contains("�")).take(1):
-            return e
-    return ENCODINGS[-1]
+    """UTF-8 if every line is valid, else cp1252 if no byte is undefined there, else latin-1; decided by the executors."""
+    lines = spark.read.text(path)
+    if not lines.where(~F.is_valid_utf8("value")).take(1):
+        return ENCODINGS[0]
+    undefined = F.hex(F.col("value").cast("binary")).rlike("^(..)*(81|8D|8F|90|9D)")
+    return ENCODINGS[2] if lines.where(undefined).take(1) else ENCODINGS[1]
 
 
 def read_delimited(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
@@ -109,7 +107,7 @@ def convert(spark: SparkSession, folder: str, overwrite: bool = False) -> dict[s
         if path.suffix not in (".csv", ".txt") or is_metadata(p):
             continue
         to = str(path.with_suffix(".parquet"))
-        if not overwrite and any(x == to or x.startswith(to + "/") for x in every):
+        if not overwrite and to in every:
             out["skipped"].append(p)
             continue
         try:
