@@ -72,13 +72,22 @@ def encoding_of(spark: SparkSession, path: str) -> str:
     lines = spark.read.text(path)
     if not lines.where(~F.is_valid_utf8("value")).take(1):
         return ENCODINGS[0]
-    undefined = F.hex(F.col("value").cast("binary")).rlike("^(..)*(81|8D|8F|90|9D)")
+    undefined = F.hex(F.expr("CAST(value AS BINARY)")).rlike("^(..)*(81|8D|8F|90|9D)")
     return ENCODINGS[2] if lines.where(undefined).take(1) else ENCODINGS[1]
 
 
 def read_delimited(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """Every column a string; short and long lines are padded and cut."""
-    return spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE", encoding=encoding or encoding_of(spark, path), quote='"', escape='"').csv(path)
+    """Every column a string; short and long lines are padded and cut.
+
+    Spark's reader knows no cp1252, which is latin-1 but for 0x80 to 0x9F; those are translated after the scan."""
+    encoding = encoding or encoding_of(spark, path)
+    latin = encoding == ENCODINGS[1]
+    df = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE", encoding=ENCODINGS[2] if latin else encoding, quote='"', escape='"').csv(path)
+    if not latin:
+        return df
+    known = [i for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+    old, new = "".join(map(chr, known)), bytes(known).decode("cp1252")
+    return df.select(*(F.translate(F.col(f"`{c}`"), old, new).alias(c.translate(str.maketrans(old, new))) for c in df.columns))
 
 
 def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
