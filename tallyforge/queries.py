@@ -15,7 +15,9 @@ from tallyforge.functions import columns as C
 from tallyforge.functions import strings as S
 from tallyforge.operators import dedup as D
 from tallyforge.operators import families as P
+from tallyforge.operators import gold as G
 from tallyforge.operators import matching as M
+from tallyforge.operators import publishing as U
 from tallyforge.operators import validate as V
 from tallyforge.operators.components import connected_components
 from tallyforge.plans import analytics as A
@@ -693,3 +695,64 @@ def committees_full_outer(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation")
     j = n.join(s, n.n_nationkey == s.s_nationkey, "full_outer").join(c, n.n_nationkey == c.c_nationkey, "left")
     return j.select("n_nationkey", P.committee_name("n_name", F.lit(None).cast("string"), F.col("n_nationkey").cast("string")).alias("name"), "suppliers", "customers")
+
+
+# --- the name-only grain and publishing -----------------------------------------------------------------------------
+
+_KEY = "md5(COALESCE(lower(COALESCE(contributorNameOrganization, concat_ws(' ', contributorNameFirst, contributorNameLast))), '_dbt_utils_surrogate_key_null_'))"
+
+
+def _party(spark: SparkSession, sf: str) -> DataFrame:
+    return G.parties(G.staging(_source(spark, sf), "RCPT"))
+
+
+@query(f"WITH {SOURCE} SELECT {_KEY} AS person_nk, MAX(contributorNameFirst) AS first_name, MAX(contributorNameLast) AS last_name, MAX(contributorNameOrganization) AS organization FROM src WHERE COALESCE(contributorNameOrganization, contributorNameFirst, contributorNameLast) IS NOT NULL GROUP BY 1")
+def gold_persons(spark: SparkSession, sf: str) -> DataFrame:
+    return G.dim_persons(_party(spark, sf)).select("person_nk", "first_name", "last_name", "organization")
+
+
+@query(f"WITH {SOURCE}, m AS (SELECT lpad(s_suppkey || '', 8, '0') AS id, s_name AS name FROM supplier WHERE s_suppkey < 20), t AS (SELECT lpad(trim(filerIdent), 8, '0') AS id, MIN(filerName) AS name FROM src GROUP BY 1) SELECT COALESCE(m.id, t.id) AS filer_id, COALESCE(m.name, t.name) AS name FROM m FULL JOIN t ON m.id = t.id")
+def gold_committees(spark: SparkSession, sf: str) -> DataFrame:
+    master = table(spark, sf, "supplier").where("s_suppkey < 20").select(F.lpad(F.col("s_suppkey").cast("string"), 8, "0").alias("filer_id"), F.col("s_name").alias("name"))
+    return G.dim_committees(master, G.staging(_source(spark, sf), "RCPT"))
+
+
+@query(f"WITH {SOURCE} SELECT DISTINCT {_KEY} AS source, md5(filerName) AS target, 'DONOR_TO' AS association_type FROM src WHERE COALESCE(contributorNameOrganization, contributorNameFirst, contributorNameLast) IS NOT NULL")
+def gold_associations(spark: SparkSession, sf: str) -> DataFrame:
+    return G.associations(_party(spark, sf))
+
+
+@query("WITH r AS (SELECT c_custkey AS uid, 'person' AS t, CASE WHEN c_custkey % 20 = 0 THEN c_nationkey END AS f, c_mktsegment || (c_custkey % 30) AS n, c_nationkey AS ad, c_custkey % 4 > 0 AS ok FROM customer), e AS (SELECT c_custkey - 1 AS a, c_custkey AS b, 0 AS p FROM customer WHERE c_custkey % 50 = 1 UNION ALL SELECT a, uid, 1 FROM (SELECT uid, MIN(uid) OVER (PARTITION BY f) AS a FROM r WHERE f IS NOT NULL) WHERE a <> uid UNION ALL SELECT a, uid, 2 FROM (SELECT uid, MIN(uid) OVER (PARTITION BY t, n, ad) AS a FROM r WHERE ok) WHERE a <> uid) SELECT a, b, ['link', 'filer_id', 'name_address'][MIN(p) + 1] AS reason FROM e GROUP BY 1, 2")
+def fast_path_edges(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "customer")
+    r = c.select(F.col("c_custkey").alias("uid"), F.lit("person").alias("entity_type"), F.when(F.col("c_custkey") % 20 == 0, F.col("c_nationkey")).alias("filer_id"), F.concat("c_mktsegment", (F.col("c_custkey") % 30).cast("string")).alias("name_key"), F.col("c_nationkey").alias("address"), F.when(F.col("c_custkey") % 4 > 0, "parsed").otherwise("partial").alias("address_status"))
+    return U.fast_path(r, c.where("c_custkey % 50 = 1").selectExpr("c_custkey - 1 AS a", "c_custkey AS b"))
+
+
+@query(f"WITH {PEOPLE} SELECT city, state, zip, COUNT(*) AS frequency FROM p WHERE COALESCE(city, state, zip) IS NOT NULL GROUP BY 1, 2, 3")
+def canonical_addresses(spark: SparkSession, sf: str) -> DataFrame:
+    return U.canonical_addresses(_people(spark, sf), ["city", "state", "zip"])
+
+
+@query("WITH b AS (SELECT user_id, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, event_type FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS rn FROM b) WHERE rn = 1")
+def most_frequent_address(spark: SparkSession, sf: str) -> DataFrame:
+    return U.most_frequent(table(spark, sf, "events"), "user_id", "event_type")
+
+
+@query("SELECT o_custkey % 30 AS committee, NULLIF(lower(trim(CASE WHEN o_orderkey % 3 = 0 THEN ' Governor' WHEN o_orderkey % 3 = 1 THEN ' ' END)), '') AS office, COALESCE(CASE WHEN o_orderkey % 4 > 0 THEN CAST(year(o_orderdate) AS INT) END, 0) AS cycle, arg_min('Campaign ' || o_orderkey, o_orderkey) AS name, arg_min('C' || o_orderkey, o_orderkey) FILTER (WHERE o_orderkey % 5 = 0) AS candidate FROM orders GROUP BY 1, 2, 3")
+def canonical_campaigns(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey AS id", "o_custkey % 30 AS committee", "CASE WHEN o_orderkey % 3 = 0 THEN ' Governor' WHEN o_orderkey % 3 = 1 THEN ' ' END AS office", "CASE WHEN o_orderkey % 4 > 0 THEN year(o_orderdate) END AS cycle", "'Campaign ' || o_orderkey AS name", "CASE WHEN o_orderkey % 5 = 0 THEN 'C' || o_orderkey END AS candidate")
+    return U.canonical_campaigns(rows)
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 1 THEN -1 ELSE o_orderkey END AS report_id FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderkey % 3 > 0")
+def report_link(spark: SparkSession, sf: str) -> DataFrame:
+    t = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.lit(44).alias("state_id"), F.col("l_orderkey").alias("report_ident"), F.when(F.col("l_linenumber") == 1, F.lit(-1).cast("long")).alias("report_id"))
+    r = table(spark, sf, "orders").where("o_orderkey % 3 > 0").select(F.lit(44).alias("state_id"), F.col("o_orderkey").alias("report_ident"), F.col("o_orderkey").alias("id"))
+    return U.link_reports(t, r).select("l_orderkey", "l_linenumber", "report_id")
+
+
+@query("SELECT o_orderkey, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AS is_final FROM orders")
+def final_reports(spark: SparkSession, sf: str) -> DataFrame:
+    r = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("report_ident"), F.lit(False).alias("is_final"))
+    return U.mark_final(r, table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("report_ident"))).select("o_orderkey", "is_final")
