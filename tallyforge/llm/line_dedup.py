@@ -241,23 +241,14 @@ def digest(docs: DataFrame) -> DataFrame:
     return ids.join(n, "doc_id", "left").join(out, "doc_id", "left").select("doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"), F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches):
-        kept = []
-        for text, gone in zip(b.column("text").to_pylist(), b.column("gone").to_pylist(), strict=True):
-            drop = set(gone)
-            kept.append(text if not drop else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop))
-        yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(kept, pa.string())).drop_columns(["gone"])
-
-
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with the lines taken out of ``text``; other columns are carried along."""
     gone, _ = removed_lines(docs)
     marks = staged(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")), "marks")
-    rows = docs.join(marks.hint("merge"), "doc_id", "left")
-    touched = rows.where("gone IS NOT NULL")
-    schema = touched.drop("gone").schema
-    return rows.where("gone IS NULL").drop("gone").unionByName(touched.mapInArrow(_strip, schema))
+    marks = marks.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    rows = docs.join(marks.hint("merge"), F.col("doc_id") == F.col("_doc"), "left")
+    return rows.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)).drop("_doc", "_gone")
 
 
 def brute_force(rows: list[tuple[int, str | None]]) -> dict[int, list[int]]:
