@@ -104,16 +104,17 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc: np.ndarray, first_line: np.ndarray, hot: Bloom | None = None, wanted: Bloom | None = None):
+def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc: np.ndarray, first_line: np.ndarray, hot: Bloom | None = None, wanted: Bloom | None = None, docs: Bloom | None = None):
     """Rows (token, doc_id, line, ni): the prefix tokens, with the set's size and the position packed.
 
-    With filters: of the ``wanted`` lines, with the ``hot`` tokens last."""
+    With filters: of the ``wanted`` lines in ``docs``, with the ``hot`` tokens last, and with the lines' sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
+        for b in pieces(docs.filter(batches, "doc_id") if docs else batches):
             h, edge, row, number = line_sets(b)
             if not len(row):
                 continue
+            sketch = [_parity(h, edge, k) for k in (0, 1)] if hot else []
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)[row]
             f = signed(_fingerprints(h, edge))
             at = np.minimum(np.searchsorted(fps, f), max(len(fps) - 1, 0))
@@ -126,14 +127,17 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc
                 copy |= ~wanted.has(ids, number)
                 often += hot.has(signed(h)).astype(np.int64) << 40
             if often.any():
-                order = np.lexsort((h, often, own))
-                h = h[order]
+                some = np.zeros(len(n), bool)
+                some[own[often > 0]] = True
+                some = np.flatnonzero(some[own])
+                h[some] = h[some][np.lexsort((h[some], often[some], own[some]))]
             place = np.arange(len(h)) - np.repeat(edge[:-1], n)
             take = (place < (n - -(-3 * n // 4) + 1)[own]) & ~copy[own]
             own, place, h = own[take], place[take], h[take]
-            cols = [pa.array(signed(h)), pa.array(ids[own]), pa.array(number[own].astype(np.int32)), pa.array((n[own] << 32) | place)]
+            cols = {"token": pa.array(signed(h)), "doc_id": pa.array(ids[own]), "line": pa.array(number[own].astype(np.int32)), "ni": pa.array((n[own] << 32) | place)}
+            cols |= {f"s{k}": pa.array(x[own]) for k, x in enumerate(sketch)}
             for i in range(0, len(h), 1 << 16):
-                yield pa.RecordBatch.from_arrays([c.slice(i, 1 << 16) for c in cols], ["token", "doc_id", "line", "ni"])
+                yield pa.RecordBatch.from_arrays([c.slice(i, 1 << 16) for c in cols.values()], list(cols))
 
     return run
 
@@ -150,11 +154,11 @@ def _most(counted: DataFrame, n: int) -> DataFrame:
     return counted.where(F.col("c") >= least)
 
 
-def _sets(wanted: Bloom):
-    """``(doc_id, line, h)`` for the wanted lines, and a few others."""
+def _sets(wanted: Bloom, docs: Bloom):
+    """``(doc_id, line, h)`` for the wanted lines in ``docs``, and a few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
+        for b in pieces(docs.filter(batches, "doc_id")):
             h, edge, row, number = line_sets(b)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)[row]
             take = wanted.has(ids, number)
@@ -171,31 +175,47 @@ def _fits(ni: str, nj: str) -> str:
     return f"4 * least({n}, {m}) >= 3 * greatest({n}, {m}) AND 7 * (1 + least({n} - {i}, {m} - {j}) - 1 + least({i}, {j})) >= 3 * ({n} + {m})"
 
 
-def _matched(pairs: DataFrame, docs: DataFrame, every: DataFrame) -> DataFrame:
-    """``x`` of the pairs (x, y) whose sets have J >= 0.75: sketches first, then the whole sets of what is left."""
+APART = "7 * (bit_count(s0 ^ t0) + bit_count(s1 ^ t1)) <= nx + ny"
+
+
+def _sketched(pairs: DataFrame, every: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose sketches are near enough for J >= 0.75."""
     k = every.select(F.struct("doc_id", "line").alias("id"), "n", "s0", "s1")
-    both = pairs.join(k.toDF("x", "nx", "a0", "a1"), "x").join(k.toDF("y", "ny", "b0", "b1"), "y")
-    apart = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
-    near = staged(both.where(7 * apart <= F.col("nx") + F.col("ny")).select("x", "y"), "near")
+    return pairs.join(k.toDF("x", "nx", "s0", "s1"), "x").join(k.toDF("y", "ny", "t0", "t1"), "y").where(F.expr(APART)).select("x", "y")
+
+
+def _matched(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """``x`` of the pairs (x, y) whose sets have J >= 0.75; the earliest partner of a line first, others only if it fails."""
+    near = staged(near.distinct(), "near")
     if not near.take(1):
         return near.select("x")
-    bloom = Bloom(near.select("x.*").union(near.select("y.*")))
-    s = staged(docs.mapInArrow(_sets(bloom), "doc_id long, line int, h array<long>"), "sets").select(F.struct("doc_id", "line").alias("id"), "h")
-    both = near.join(s.toDF("x", "hx"), "x").join(s.toDF("y", "hy"), "y").withColumn("same", F.size(F.array_intersect("hx", "hy")))
-    return both.where("4 * same >= 3 * (size(hx) + size(hy) - same)").select("x").distinct()
+    ends = staged(near.select("x.*").union(near.select("y.*")).distinct(), "ends")
+    some = _sets(Bloom(ends), Bloom(ends.select("doc_id").distinct()))
+    s = staged(docs.mapInArrow(some, "doc_id long, line int, h array<long>"), "sets").select(F.struct("doc_id", "line").alias("id"), "h")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(s.toDF("x", "hx"), "x").join(s.toDF("y", "hy"), "y").withColumn("same", F.size(F.array_intersect("hx", "hy")))
+        return staged(both.where("4 * same >= 3 * (size(hx) + size(hy) - same)").select("x").distinct(), "matched")
+
+    first = near.groupBy("x").agg(F.min("y").alias("y"))
+    found = verified(first)
+    others = near.join(first.withColumnRenamed("y", "f"), "x").where("y <> f").select("x", "y").join(found, "x", "left_anti")
+    return found.union(verified(others)).distinct()
 
 
 def _hits(rows: DataFrame) -> DataFrame:
     """Rows of the buckets of two lines or more, with the bucket's size and the line's rank in it."""
     w = Window.partitionBy("token")
-    hits = rows.select("token", F.struct("doc_id", "line").alias("x"), "ni")
+    hits = rows.withColumn("x", F.struct("doc_id", "line")).drop("doc_id", "line")
     return hits.withColumn("c", F.count("*").over(w)).where("c > 1").withColumn("rank", F.row_number().over(w.orderBy("x")))
 
 
 def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
     """Pairs of a line and an earlier one of its bucket that the filters let through."""
-    y = y.select("token", F.col("x").alias("y"), F.col("ni").alias("nj"), F.col("rank").alias("ry"))
-    return x.join(y, "token").where(F.expr(f"ry < rank AND {_fits('ni', 'nj')}")).select("x", "y")
+    known = "s0" in x.columns
+    y = y.select("token", F.col("x").alias("y"), F.col("ni").alias("nj"), F.col("rank").alias("ry"), *(F.col(f"s{k}").alias(f"t{k}") for k in (0, 1) if known))
+    near = APART.replace("nx + ny", "shiftright(ni, 32) + shiftright(nj, 32)") if known else "true"
+    return x.join(y, "token").where(F.expr(f"ry < rank AND {_fits('ni', 'nj')} AND {near}")).select("x", "y")
 
 
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -215,20 +235,19 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kinds = "token long, doc_id long, line int, ni long"
     hits = staged(_hits(docs.mapInArrow(_prefixes(*known), kinds)), "hits")
     few = hits.where(F.col("c") <= CAP)
-    pairs = _pairs(few, few)
+    near = _sketched(_pairs(few, few).distinct(), seen.where("token IS NULL").select("doc_id", "line", "n", "s0", "s1"))
     many = hits.where(F.col("c") > CAP)
     late = None
     if many.take(1):
-        hot, lines_ = Bloom(many.select("token").distinct()), Bloom(many.select("x.*").distinct())
-        late = staged(_hits(docs.mapInArrow(_prefixes(*known, hot, lines_), kinds)), "late")
-        few = late.where(F.col("c") <= CAP)
-        pairs = pairs.union(_pairs(few, few)).union(_pairs(late.where(F.col("c") > CAP), late.where((F.col("c") > CAP) & (F.col("rank") <= NEXT))))
-    keyed = seen.where("token IS NULL").select("doc_id", "line", "n", "s0", "s1")
-    found = staged(_matched(pairs.distinct(), docs, keyed), "matched")
+        in_many = staged(many.select("x.*").distinct(), "in_many")
+        filters = (Bloom(many.select("token").distinct()), Bloom(in_many), Bloom(in_many.select("doc_id").distinct()))
+        late = staged(_hits(docs.mapInArrow(_prefixes(*known, *filters), f"{kinds}, s0 long, s1 long")), "late")
+        few, many = late.where(F.col("c") <= CAP), late.where(F.col("c") > CAP)
+        near = near.union(_pairs(few, few)).union(_pairs(many, many.where(F.col("rank") <= NEXT)))
+    found = _matched(near, docs)
     if late is not None:
-        rest = late.where((F.col("c") > CAP) & (F.col("rank") > NEXT + 1)).join(found, "x", "left_anti")
-        far = _pairs(rest, late.where((F.col("c") > CAP) & (F.col("rank") > NEXT)))
-        found = found.union(staged(_matched(far.distinct(), docs, keyed), "matched"))
+        rest = many.where(F.col("rank") > NEXT + 1).join(found, "x", "left_anti")
+        found = found.union(_matched(_pairs(rest, many.where(F.col("rank") > NEXT)), docs))
     return staged(copies.union(found.select("x.doc_id", "x.line")).distinct(), "removed"), every.select("doc_id", "line")
 
 
