@@ -15,19 +15,16 @@ A document's set holds its distinct five-word shingles (64-bit hashes).  Two ske
 
 What is left is verified on the whole sets: 100 * intersection >= 75 * union.
 
-No group is expanded into pairs.  Equal sets become one representative first.  In each cell's
-bucket every member is paired with the smallest only; verified links give components, and just
-the buckets whose members are still in different components go on.  There, buckets of at most
-``CAP`` members are compared across components.  Members of larger buckets (a passage that very many
-documents share) are joined again on more of their cells (all, where large buckets take up much of them).  Of
-the first t cells of a document, one that is linked and emits as far agrees on at least t - |A| // 3, so if fewer than that
-are in large buckets the two meet in a small one.  Only documents for which this fails stay in their large buckets: those that
-emit all their cells are compared among themselves, any others with all members.  These are documents that
-consist mainly of very common content; that last step is quadratic in their number.
+Each document emits a quarter more cells than that, t in all.  A linked partner that emits as far then shares at least
+t - |A| // 3 of them.  So a document that shares fewer cells with others (a passage that very many documents have) is
+linked with nothing and is left out, and one that shares k looks for partners in its k - (t - |A| // 3) + 1
+smallest buckets only.  No group is expanded into pairs: equal sets become one representative first, members are paired with the
+smallest of their bucket, verified links give components, and only members of buckets that still hold different components are
+compared across them.
 
 Scale: four scans of the text and no shuffle of it (one on doc_id if many documents repeat); bounded Bloom filters
 pick the documents whose cells or sets are needed again;
-about 0.4 rows of 16 bytes for each shingle are shuffled once by cell value.  A hot set is
+about half a row of 20 bytes for each shingle are shuffled once by cell value.  A hot set is
 pre-aggregated; a hot near-copy group spreads over |A| / 3 cell values.  Intermediate tables are
 written to the shared scratch folder.  Hashes are 64 bits, so a wrong or lost link needs a collision.
 
@@ -53,7 +50,6 @@ from tallyforge.plans.scratch import staged
 
 K, NUM, DEN = 5, 75, 100
 BITS = 256
-CAP = 48
 
 
 def sets_of(batch: pa.RecordBatch, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -105,37 +101,27 @@ def cells(h: np.ndarray, j: int) -> np.ndarray:
     return mix(np.bitwise_xor.reduceat(h, start) ^ mix(cell[start] * U(64) + U(j)))
 
 
-def _cells(hot: Bloom | None = None, full: Bloom | None = None):
-    """Rows (sig, rep): the first n // 3 + 1 cells.  With filters: a quarter more for documents in ``hot`` and all for
-    those in ``full``, with the band, and how many cells a partner that emits as far surely shares (negative: all emitted)."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(hot.filter(batches, "doc_id") if hot else batches):
-            h, edge = sets_of(b)
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            every = full.has(ids) if full else np.zeros(b.num_rows, bool)
-            sig, rep, bands, spare = [], [], [], []
-            for i in range(b.num_rows):
-                n = int(edge[i + 1] - edge[i])
-                if not n:
-                    continue
-                own = band(n)
-                for j in (own, own + 1) if 3 * 4 ** (own + 1) <= 4 * n else (own,):
-                    c = cells(h[edge[i] : edge[i + 1]], j)
-                    c = c if every[i] else c[: n // 3 + 1 + (n // 12 + 3 if hot else 0)]
-                    sig.append(c)
-                    rep.append(np.full(len(c), ids[i], np.int64))
-                    if hot:
-                        bands.append(np.full(len(c), 2 * j + every[i], np.int32))
-                        spare.append(np.full(len(c), len(c) - n // 3, np.int32))
-            if sig:
-                cols = {"sig": pa.array(signed(np.concatenate(sig))), "rep": pa.array(np.concatenate(rep))}
-                if hot:
-                    cols |= {"band": pa.array(np.concatenate(bands)), "spare": pa.array(np.concatenate(spare))}
-                for at in range(0, len(cols["sig"]), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([c.slice(at, 1 << 16) for c in cols.values()], list(cols))
-
-    return emit
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (sig, rep, spare): the first n // 3 + 1 + EXTRA(n) cells of each band, and how many of them a partner that emits as
+    far surely shares, with the band."""
+    for b in pieces(batches):
+        h, edge = sets_of(b)
+        ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+        sig, rep, spare = [], [], []
+        for i in range(b.num_rows):
+            n = int(edge[i + 1] - edge[i])
+            if not n:
+                continue
+            own = band(n)
+            for j in (own, own + 1) if 3 * 4 ** (own + 1) <= 4 * n else (own,):
+                c = cells(h[edge[i] : edge[i + 1]], j)[: n // 3 + 4 + n // 12]
+                sig.append(c)
+                rep.append(np.full(len(c), ids[i], np.int64))
+                spare.append(np.full(len(c), max(1, len(c) - n // 3) * 32 + j, np.int32))
+        if sig:
+            cols = {"sig": pa.array(signed(np.concatenate(sig))), "rep": pa.array(np.concatenate(rep)), "spare": pa.array(np.concatenate(spare))}
+            for at in range(0, len(cols["sig"]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([c.slice(at, 1 << 16) for c in cols.values()], list(cols))
 
 
 def _sets(used: Bloom):
@@ -169,18 +155,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, again: bool
     return both.where(f"{DEN} * same >= {NUM} * (na + nb - same)").select("a", "b")
 
 
-def _across(hits: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows of the buckets whose members are in different components, with the component."""
-    known = hits.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("sig", "rep", "c", F.coalesce("component", "rep").alias("comp"))
-    open_ = known.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("sig")
-    return known.join(open_, "sig", "left_semi")
-
-
-def _pairs(rows: DataFrame, others: DataFrame | None = None) -> DataFrame:
-    """Pairs in a bucket across components, of the rows among themselves or with others."""
-    l, r = rows.select("sig", F.col("rep").alias("a"), F.col("comp").alias("ca")), (others or rows).select("sig", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    order = F.col("a") != F.col("b") if others else F.col("a") < F.col("b")
-    both = l.join(r, (l["sig"] == r["sig"]) & order & (F.col("ca") != F.col("cb")))
+def _active(hits: DataFrame) -> DataFrame:
+    """The smallest buckets of each document, as many as must hold one partner: of k shared cells a linked partner has at
+    least ``spare``, so k - spare + 1 are enough, and a document with k < spare is linked with nothing."""
+    own = ["rep", "spare"]
+    least = F.shiftright("spare", 5)
+    k = hits.groupBy(*own).agg(F.count("*").alias("k")).where(F.col("k") >= least)
+    rank = F.row_number().over(Window.partitionBy(*own).orderBy("c", "sig"))
+    return hits.join(k, own).withColumn("rank", rank).where(F.col("rank") <= F.col("k") - least + 1).select("sig", "rep", "center")
+
+
+def _across(active: DataFrame, hits: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs of an active row and another one of its bucket that is in a different component."""
+    c = comp.withColumnRenamed("node", "rep")
+    known = lambda df: df.join(c, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("comp"))
+    all_ = known(hits.join(active.select("sig").distinct(), "sig", "left_semi"))
+    open_ = all_.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("sig")
+    open_ = staged(open_, "open")
+    l = known(active.join(open_, "sig", "left_semi")).toDF("sig", "a", "ca")
+    r = known(hits.join(open_, "sig", "left_semi")).toDF("sig", "b", "cb")
+    both = l.join(r, "sig").where("ca <> cb")
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -193,28 +187,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     again = staged(members.where("doc_id <> rep OR n = 0").select("doc_id").distinct(), "again")
     first = docs.where("doc_id IS NOT NULL").join(again, "doc_id", "left_anti")
     twins = _repeats(members)
-    base = first.mapInArrow(_cells(), "sig long, rep long")
+    base = first.mapInArrow(_cells, "sig long, rep long, spare int")
     hits = staged(_shared(base.distinct() if twins else base), "hits")
+    active = staged(_active(hits), "active")
     one = members.where("doc_id = rep").dropDuplicates(["rep"]) if twins else members.where("doc_id = rep")
 
-    stars = hits.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = staged(active.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
     edges = staged(_verified(stars, docs, one, twins), "links")
     comp = connected_components(edges, "a", "b")
-
-    rest = staged(_across(hits, comp), "rest")
-    pairs = _pairs(rest.where(F.col("c") <= CAP))
-    open_ = rest.where(F.col("c") > CAP).select(F.col("rep").alias("doc_id"), "comp").distinct()
-    load = hits.where(F.col("c") > CAP).groupBy(F.col("rep").alias("doc_id")).agg(F.count("*").alias("h"))
-    hot = staged(open_.join(load, "doc_id").join(one.select("doc_id", "n"), "doc_id").select("doc_id", "comp", (F.col("h") * 8 > F.col("n") / 3 + 1).alias("full")), "hot")
-    if hot.take(1):
-        some, full = Bloom(hot.select("doc_id")), Bloom(hot.where("full").select("doc_id"))
-        far = first.mapInArrow(_cells(some, full), "sig long, rep long, band int, spare int")
-        wide = staged(_shared(far).drop("center").join(hot.select(F.col("doc_id").alias("rep"), "comp"), "rep"), "wide")
-        many = wide.where(F.col("c") > CAP)
-        short = staged(many.groupBy("rep", "band").agg(F.count("*").alias("m"), F.first("spare").alias("s")).where("m >= s").select("rep", "band"), "short")
-        whole, part = (many.join(short.where(f"band % 2 = {k}"), ["rep", "band"], "left_semi") for k in (1, 0))
-        pairs = pairs.union(_pairs(wide.where(F.col("c") <= CAP))).union(_pairs(whole)).union(_pairs(part, many))
-    more = staged(_verified(pairs.distinct().join(stars, ["a", "b"], "left_anti"), docs, one, twins), "links")
+    pairs = _across(active, hits, comp).join(stars, ["a", "b"], "left_anti")
+    more = staged(_verified(pairs, docs, one, twins), "links")
     if more.take(1):
         comp = connected_components(edges.union(more), "a", "b")
     return members, comp

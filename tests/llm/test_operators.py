@@ -72,9 +72,7 @@ def test_kernels_split_like_the_pattern():
     assert len(set(by_hash.values())) == len(by_hash)
 
 
-@pytest.mark.parametrize("cap", [48, 2])
-def test_ngram_join(spark, docs, monkeypatch, cap):
-    monkeypatch.setattr(ngram_join, "CAP", cap)
+def test_ngram_join(docs):
     sets = {}
     for i, t in corpus():
         w = words_of(t)
