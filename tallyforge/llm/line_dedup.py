@@ -1,10 +1,11 @@
 """Line deduplication by an exact set-similarity self-join (prefix, positional and length filters).
 
-A line's tokens are its distinct five-word shingles (A-Z as a-z).  A line goes if an earlier line, by
-(doc_id, line number), has Jaccard similarity of at least 0.75 with it; lines of fewer than five words
-stay, so stray short lines of clean documents are left alone.
+A line's tokens are its distinct five-word shingles (A-Z as a-z); a line of one to four words has its whole word
+sequence as its one token.  A line goes if an earlier line, by (doc_id, line number), has Jaccard similarity of at
+least 0.75 with it, so a short line goes if it is an exact repeat, as words.
 
-* Lines with equal sets are grouped by one partially aggregated hash; all but the first go.
+* Lines with equal sets are grouped by one partially aggregated hash; all but the first go.  Sets of one or two tokens
+  reach 0.75 only with equal ones, so the grouping settles them and they are in no join.
 * Tokens are ordered by rarity: frequent ones (counted over all lines, the ``FREQUENT`` most frequent known by
   count) come last, others by hash, the same order everywhere.  Two lines with J >= 0.75 share a token among the
   first n - ceil(0.75 n) + 1 of each, so these prefixes are joined; at a shared token the positions bound the
@@ -21,7 +22,7 @@ many copies of a frequent line are skipped by a bounded list of first occurrence
 candidates.  Frequent tokens, lines to join again and lines to verify are known by Bloom filters of bounded size; a
 false positive costs a row.
 
-Defined cases: null and empty texts have no lines; rows that share a doc_id are one document's; the doc_id null rows
+Defined cases: null and empty texts and lines without a word have no token and stay; rows that share a doc_id are one document's; the doc_id null rows
 lose nothing.
 """
 
@@ -40,6 +41,8 @@ from tallyforge.plans.scratch import staged
 
 K = 5
 FREQUENT, REPEATED, CAP, NEXT = 1 << 16, 1 << 16, 8, 8
+#: The size up to which only equal sets have J >= 0.75.
+SETTLED = 2
 
 
 def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,17 +57,16 @@ def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def line_sets(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Token sets of the lines of five words or more: sorted hashes, offsets, row and line number."""
+    """Token sets of the lines with a word: sorted hashes, offsets, row and line number."""
     buf, off = texts(b.column("text"))
     start, end, row, number = lines(buf, off)
     ws, we = runs(~SEP[buf], off)
     at = np.searchsorted(start, ws, "right") - 1
     h = span_hash(rolling(buf, FOLDED), ws, we)
-    long_ = np.bincount(at, minlength=len(start)) >= K if len(start) else np.empty(0, bool)
-    new = np.cumsum(long_) - 1
-    keep = long_[at] if len(at) else np.empty(0, bool)
-    hashes, edge = distinct_sets(*shingles(h[keep], new[at[keep]], int(long_.sum()), K), int(long_.sum()))
-    return hashes, edge, row[long_], number[long_]
+    full = np.bincount(at, minlength=len(start)) > 0 if len(start) else np.empty(0, bool)
+    new = np.cumsum(full) - 1
+    hashes, edge = distinct_sets(*shingles(h, new[at] if len(at) else at, int(full.sum()), K), int(full.sum()))
+    return hashes, edge, row[full], number[full]
 
 
 def _fingerprints(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -95,8 +97,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, edge, row, number = line_sets(b)
         ids = b.column("doc_id").take(pa.array(row))
         yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(np.diff(edge).astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), *(pa.array(_parity(h, edge, k)) for k in (0, 1)), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], _SCANNED)
-        held.append(h)
-        size += len(h)
+        joined = h[np.repeat(np.diff(edge) > SETTLED, np.diff(edge))]
+        held.append(joined)
+        size += len(joined)
         if size > 2_000_000:
             yield frequent()
             held, size = [], 0
@@ -120,6 +123,7 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc
             at = np.minimum(np.searchsorted(fps, f), max(len(fps) - 1, 0))
             copy = (fps[at] == f) & ((first_doc[at] != ids) | (first_line[at] != number)) if len(fps) else np.zeros(len(f), bool)
             n = np.diff(edge)
+            copy |= n <= SETTLED
             own = np.repeat(np.arange(len(n)), n)
             k = np.minimum(np.searchsorted(tokens, h), max(len(tokens) - 1, 0))
             often = np.where(tokens[k] == h, counts[k], 0) if len(tokens) else np.zeros(len(h), np.int64)
@@ -219,7 +223,7 @@ def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, line)`` of the lines to remove, and ``(doc_id, line)`` of all lines of five words or more."""
+    """``(doc_id, line)`` of the lines to remove, and ``(doc_id, line)`` of all lines with a word."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     seen = staged(docs.mapInArrow(_scan, "doc_id long, line int, n int, fp long, s0 long, s1 long, token long, c long"), "lines")
     every = seen.where("token IS NULL").select("doc_id", "line", "fp")
@@ -252,7 +256,7 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_lines, n_removed, removed``: lines of five words or more, and the sorted numbers of those that go."""
+    """``doc_id, n_lines, n_removed, removed``: lines with a word, and the sorted numbers of those that go."""
     gone, every = removed_lines(docs)
     n = every.groupBy("doc_id").agg(F.count("*").alias("n_lines"))
     out = gone.groupBy("doc_id").agg(F.count("*").alias("n_removed"), F.array_sort(F.collect_set("line")).alias("removed"))
@@ -277,8 +281,8 @@ def brute_force(rows: list[tuple[int, str | None]]) -> dict[int, list[int]]:
     for doc, text in sorted(rows):
         for i, line in enumerate((text or "").split("\n")):
             w = [x for x in "".join(" " if c in "\t\v\f\r" else c for c in line.translate(lower)).split(" ") if x]
-            if len(w) >= K:
-                every.append((doc, i, {tuple(w[j : j + K]) for j in range(len(w) - K + 1)}))
+            if w:
+                every.append((doc, i, {tuple(w[j : j + K]) for j in range(max(1, len(w) - K + 1))}))
     out: dict[int, list[int]] = {}
     for b, (doc, i, s) in enumerate(every):
         if any(4 * len(s & t) >= 3 * len(s | t) for _, _, t in every[:b]):

@@ -110,6 +110,13 @@ def test_line_dedup_text(docs):
         assert got[i].text == (t if i not in want else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i]))
 
 
+def test_line_dedup_short_lines(spark):
+    rows = [(1, "All rights reserved.\nOne two three four five six\n\n  \nYes"), (2, "ALL  rights reserved.\nYes indeed\nall rights\none two three four five"), (3, "All rights reserved.\nOne two three four five six\n\n  \nYes"), (4, "Yes\nyes\nall rights reserved. one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.removed) for r in line_dedup.digest(df).collect()}
+    assert got == {1: (3, []), 2: (4, [0]), 3: (3, [0, 1, 4]), 4: (3, [0, 1])}
+
+
 @pytest.mark.parametrize("big", [4096, 1])
 def test_suffix_dedup(docs, monkeypatch, big):
     monkeypatch.setattr(suffix_dedup, "BIG", big)
