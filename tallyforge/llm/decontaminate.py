@@ -1,4 +1,4 @@
-"""Benchmark decontamination by CGK embeddings, bit-sampling LSH and exact edit verification.
+"""Benchmark decontamination by shared runs and exact edit verification.
 
 Texts are compared as words (A-Z as a-z) joined by one space.  A document is contaminated by an item if some part of
 it is within edit distance ``floor(SHARE * length)`` of the item.
@@ -6,12 +6,8 @@ it is within edit distance ``floor(SHARE * length)`` of the item.
 * Windows: every run of three words of a document that an item also has proposes the item-sized window at the same
   alignment.  A part within the bound that keeps one such run is thus proposed; only edits in every third word
   or closer can hide one.
-* The CGK embedding (Chakraborty, Goldenberg and Koucky, 2016) walks over a text with shared random bits that decide at
-  each step whether to advance, which turns edit distance into Hamming distance.  ``WALKS`` independent walks and
-  ``DRAWS`` random sets of ``PLACES`` coordinates of each are compared; a window passes if one set agrees.  With
-  64 sets a window whose embedding agrees in 60 % of its places passes with probability above 0.99, an unrelated one
-  (8 %) with 0.0003.
-* Passed windows, widened by the bound, are verified by exact approximate-substring dynamic programming (Sellers).
+* Every proposed window, widened by the bound, is verified by exact approximate-substring dynamic programming (Sellers);
+  no filter comes between, so a proposed match within the bound is never lost.
 
 Scale: one scan of the documents without a shuffle; the items are shipped with the tasks in slices of at most
 ``SLICE`` bytes, one scan for each slice, so nothing shipped grows without bound.  Any number of documents may hold
@@ -34,7 +30,6 @@ from pyspark.sql import functions as F
 from tallyforge.llm.kernels import U, pieces, shingles, texts, words
 
 SHARE, RUN, LEAST = 0.2, 3, 5
-WALKS, DRAWS, PLACES = 8, 8, 5
 SLICE = 8 << 20
 BATCH = 1024
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -53,38 +48,6 @@ def padded(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def embed(strings: list[str], steps: int, walk: int) -> np.ndarray:
-    """The CGK embedding: (steps, strings) code points, 0 past the end."""
-    chars, size = padded(strings)
-    bits = np.random.default_rng((17, walk)).integers(0, 2, (steps, 256), np.uint8)
-    row, at, out = np.arange(len(strings)), np.zeros(len(strings), np.int64), np.empty((steps, len(strings)), np.uint32)
-    for j in range(steps):
-        out[j] = c = chars[row, at]
-        at = np.minimum(at + bits[j, c & 255], size)
-    return out
-
-
-def places(n: int, walk: int) -> np.ndarray:
-    """(DRAWS, PLACES) coordinates for items of n characters; the walk over them takes about 2 n steps."""
-    return np.random.default_rng((23, walk, n)).integers(0, max(1, (7 * n) // 4), (DRAWS, PLACES))
-
-
-def passes(windows: list[str], items: np.ndarray, texts_: list[str]) -> np.ndarray:
-    """Whether window i shares a sampled coordinate set with item items[i], in any repetition."""
-    used, where = np.unique(items, return_inverse=True)
-    size = np.array([len(texts_[k]) for k in used])
-    steps = int(2 * size.max())
-    ok = np.zeros(len(windows), bool)
-    col = np.arange(len(windows))
-    for walk in range(WALKS):
-        theirs, ours = embed([texts_[k] for k in used], steps, walk), embed(windows, steps, walk)
-        at = np.stack([places(int(n), walk) for n in size])[where]
-        for d in range(DRAWS):
-            p = at[:, d]
-            ok |= (theirs[p, where[:, None]] == ours[p, col[:, None]]).all(1)
-    return ok
-
-
 def substring_distance(pattern: list[str], text: list[str]) -> np.ndarray:
     """The least edit distance of each pattern to any substring of its text (Sellers, 1980), all pairs at once."""
     p, n = padded(pattern)
@@ -121,8 +84,8 @@ class Items:
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(self.key >> U(48)).astype(np.int64)] = True
 
-    def windows(self, b: pa.RecordBatch) -> Iterator[tuple[int, int, str, str]]:
-        """(row, item, window, widened window) for each proposed alignment."""
+    def windows(self, b: pa.RecordBatch) -> Iterator[tuple[int, int, str]]:
+        """(row, item, widened window) for each proposed alignment."""
         buf, off = texts(b.column("text"))
         ws, we, h, row = words(buf, off)
         first = np.searchsorted(row, np.arange(b.num_rows + 1))
@@ -148,23 +111,21 @@ class Items:
             wide = int(SHARE * size) + 2 + size // 8
             e0 = min(s0 + size, int(first[d + 1]))
             a, z = max(s0 - wide, int(first[d])), min(e0 + wide, int(first[d + 1]))
-            yield d, item, normal(raw[ws[s0] : we[e0 - 1]]), normal(raw[ws[a] : we[z - 1]])
+            yield d, item, normal(raw[ws[a] : we[z - 1]])
 
 
 def _matches(items: Items):
-    def decide(held: list[tuple[int, int, str, str]]) -> Iterator[pa.RecordBatch]:
-        which = np.array([x[1] for x in held])
-        ok = np.flatnonzero(passes([x[2] for x in held], which, items.texts))
-        for i in range(0, len(ok), 256):
-            part = [held[j] for j in ok[i : i + 256]]
-            dist = substring_distance([items.texts[x[1]] for x in part], [x[3] for x in part])
+    def decide(held: list[tuple[int, int, str]]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(held), 256):
+            part = held[i : i + 256]
+            dist = substring_distance([items.texts[x[1]] for x in part], [x[2] for x in part])
             size = np.array([len(items.texts[x[1]]) for x in part])
             good = np.flatnonzero(dist <= np.floor(SHARE * size))
             cols = [pa.array([part[j][0] for j in good], pa.int64()), pa.array([int(items.ids[part[j][1]]) for j in good], pa.int64()), pa.array(dist[good]), pa.array(size[good])]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "distance", "item_chars"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, str, str]] = []
+        held: list[tuple[int, int, str]] = []
         for b in pieces(batches):
             ids = b.column("doc_id").to_pylist()
             for d, *rest in items.windows(b):

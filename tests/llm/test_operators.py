@@ -310,6 +310,23 @@ def test_decontamination_recall(spark):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_at_the_bound(spark):
+    """Items with floor(0.2 n) letters replaced, all behind the first four words: none may be lost."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 8)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([20, 35, 60] * 10)]
+    docs = []
+    for i, t in items:
+        chars = list(t)
+        start = len(" ".join(t.split(" ")[:4])) + 1
+        for k in r.sample(range(start, len(chars)), len(chars) // 5):
+            chars[k] = "q"
+        docs.append((i, " ".join([word(), word(), "".join(chars), word()])))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.distance, x.item_chars) for x in decontaminate.contaminated(df, bench).collect()}
+    assert set(got) == {(i, i) for i, _ in items} and all(d <= n // 5 for d, n in got.values())
+
+
 def test_substring_distance():
     got = decontaminate.substring_distance(["abc", "kitten", "xyz"], ["zzabcz", "a sitting b", ""])
     assert got.tolist() == [0, 2, 3]
