@@ -327,6 +327,42 @@ def test_decontamination_at_the_bound(spark):
     assert set(got) == {(i, i) for i, _ in items} and all(d <= n // 5 for d, n in got.values())
 
 
+def test_decontamination_without_common_words(spark):
+    """Edits in every third word, in each word, joined and split words, short items word for word."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("etaoinshrdlu") for _ in range(r.randint(5, 7)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([5, 5, 18, 18, 40, 40, 30, 30])] + [(50, "Yes  Indeed"), (51, "no"), (52, " ")]
+    cut = lambda t, step: " ".join(w[:2] + "q" + w[3:] if k % step == 1 else w for k, w in enumerate(t.split(" ")))
+    text = dict(items)
+    docs = [(0, text[0][:14] + "q" + text[0][15:]), (1, text[1].replace(" ", "")), (2, cut(text[2], 3)), (3, cut(text[3], 2)), (4, cut(text[4], 1)), (5, cut(text[5], 3)), (6, text[6].replace(" ", "")), (7, " ".join(w[:3] + " " + w[3:] for w in text[7].split(" ")))]
+    docs = [(i, f"{word()} {t} {word()}") for i, t in docs] + [(20, "oh yes\nindeed so"), (21, "yes so indeed"), (22, "NO"), (23, "know nothing")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.distance for x in decontaminate.contaminated(df, bench).collect()}
+    want = {(d, i) for d, t in docs for i, x in items if i < 50 and decontaminate.substring_distance([x], [t])[0] <= len(x) // 5}
+    assert want == {(i, i) for i in range(8)} and set(got) == want | {(20, 50), (22, 51)}
+    assert got[20, 50] == got[22, 51] == 0
+
+
+def test_distances_of_long_patterns():
+    r = random.Random(13)
+    pairs = []
+    for n in [0, 1, 63, 64, 65, 127, 128, 129, 200] * 4:
+        p = "".join(r.choice("abé一") for _ in range(n))
+        t = "".join(r.choice(["", "a", c + "b", c, c, c, c]) for c in p)
+        pairs += [(p, "aé" + t + "b"), (p, "")]
+
+    def slow(p, t):
+        row = [0] * (len(t) + 1)
+        for i, a in enumerate(p):
+            new = [i + 1]
+            for j, b in enumerate(t):
+                new.append(min(new[j] + 1, row[j + 1] + 1, row[j] + (a != b)))
+            row = new
+        return min(row)
+
+    assert decontaminate.substring_distance(*map(list, zip(*pairs, strict=True))).tolist() == [slow(p, t) for p, t in pairs]
+
+
 def test_substring_distance():
     got = decontaminate.substring_distance(["abc", "kitten", "xyz"], ["zzabcz", "a sitting b", ""])
     assert got.tolist() == [0, 2, 3]
