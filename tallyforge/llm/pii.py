@@ -79,6 +79,12 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _octet(digits: str) -> bool:
+    """At most 255, with any number of zeros in front."""
+    p = digits.lstrip("0")
+    return len(p) < 3 or len(p) == 3 and p <= "255"
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     end, at = 0, text.find("@")
     while at >= 0:
@@ -95,7 +101,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all base spans, in order."""
     found = [(s, 0, e) for s, e in emails(text)]
-    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(map(_octet, m.group().split(".")))]
     found += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 12 <= m.end() - m.start() and 12 <= len(d := _digits(m.group())) <= 19 and luhn(d)]
     found += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
     return sorted(found)
@@ -135,7 +141,7 @@ def votes(text: str, start: int, kind: int, end: int, base: bool) -> list[int]:
         gazette = 1 if top in TOP_LEVEL else 0
         shape = 1 if 5 <= len(s) <= 80 else -1
     elif name == "ip":
-        check = (1 if all(int(p) <= 255 for p in s.split(".")) else -1) if "." in s else 1
+        check = (1 if all(map(_octet, s.split("."))) else -1) if "." in s else 1
         gazette = -1 if s.startswith(("0.", "1.0.0.", "2.0.0.")) else 1 if s.startswith(("10.", "172.", "192.168.", "127.", "fe80", "2001")) else 0
         shape = 1 if len(s) >= 7 else -1
     elif name == "card":
