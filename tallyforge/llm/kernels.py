@@ -165,5 +165,16 @@ def distinct_sets(h: np.ndarray, row: np.ndarray, n_rows: int) -> tuple[np.ndarr
     return h[fresh], np.concatenate(([0], np.cumsum(fresh)))[edge]
 
 
+def parity_sketches(h: np.ndarray, edge: np.ndarray, least: int, per: int, most: int = 1 << 16) -> pa.ListArray:
+    """For each slice of hashes the parities of how many fall on each bit, in a power of two of bits: about ``per`` for a hash,
+    from ``least`` to ``most``.  The Hamming distance of two sketches is at most the symmetric difference of the sets."""
+    n = np.diff(edge)
+    size = np.clip(1 << np.ceil(np.log2(np.maximum(per * n, 1))).astype(np.int64), least, most)
+    first = np.concatenate(([0], np.cumsum(size)))
+    at = np.repeat(first[:-1], n) + ((h >> U(20)).astype(np.int64) & np.repeat(size - 1, n))
+    odd = (np.bincount(at, minlength=int(first[-1])) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(pa.array((first // 64).astype(np.int32)), pa.array(np.packbits(odd).view(np.int64)))
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)

@@ -9,7 +9,7 @@ A document's set holds its distinct five-word shingles (64-bit hashes).  Two ske
   |A| // 3 + 1 *non-empty* cells of either document at least one is equal in both, so joining these
   cells loses no link; no two documents meet because a cell is empty in both.  Bands are a factor 4
   wide; a document near the upper end of its band also appears in the next one.
-* A *bit sketch* of at least two bits for each shingle, each the parity of the shingles hashed to it: the
+* A *bit sketch* of at least four bits for each shingle (65,536 at most), each the parity of the shingles hashed to it: the
   Hamming distance of two bit sketches is a lower bound of the symmetric difference and discards candidates
   unread.  Lengths are powers of two, so the longer of two sketches folds onto the shorter by XOR.
 
@@ -20,7 +20,7 @@ t - |A| // 3 of them.  So a document that shares fewer cells with others (a pass
 linked with nothing and is left out, and one that shares k looks for partners in its k - (t - |A| // 3) + 1
 smallest buckets only.  No group is expanded into pairs: equal sets become one representative first, members are paired with the
 smallest of their bucket, verified links give components, and only members of buckets that still hold different components are
-compared across them.
+compared across them, by bit sketches in blocks (see ``blocks``).
 
 Scale: four scans of the text and no shuffle of it (one on doc_id if many documents repeat); bounded Bloom filters
 pick the documents whose cells or sets are needed again;
@@ -43,8 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tallyforge.llm.blocks import near_pairs
 from tallyforge.llm.bloom import Bloom
-from tallyforge.llm.kernels import U, distinct_sets, mix, pieces, shingles, signed, texts, words
+from tallyforge.llm.kernels import U, distinct_sets, mix, parity_sketches, pieces, shingles, signed, texts, words
 from tallyforge.operators.components import connected_components
 from tallyforge.plans.scratch import staged
 
@@ -68,21 +69,10 @@ def _segments(op: np.ufunc, x: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bit_sketches(h: np.ndarray, edge: np.ndarray) -> pa.Array:
-    at = (h >> U(32)).astype(np.int64)
-    out = []
-    for i in range(len(edge) - 1):
-        size = max(BITS, 1 << int(2 * (edge[i + 1] - edge[i]) - 1).bit_length())
-        odd = (np.bincount(at[edge[i] : edge[i + 1]] % size, minlength=size) & 1).astype(np.uint8)
-        out.append(np.packbits(odd).view(np.int64))
-    stops = np.cumsum([0, *map(len, out)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate(out) if out else np.empty(0, np.int64)))
-
-
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches):
         h, edge = sets_of(b)
-        cols = [b.column("doc_id"), pa.array(np.diff(edge)), pa.array(signed(_segments(np.add, mix(h), edge))), pa.array(signed(_segments(np.bitwise_xor, mix(h ^ U(0x5851F42D4C957F2D)), edge))), _bit_sketches(h, edge)]
+        cols = [b.column("doc_id"), pa.array(np.diff(edge)), pa.array(signed(_segments(np.add, mix(h), edge))), pa.array(signed(_segments(np.bitwise_xor, mix(h ^ U(0x5851F42D4C957F2D)), edge))), parity_sketches(h, edge, BITS, 4)]
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "fa", "fb", "bits"])
 
 
@@ -141,7 +131,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, again: bool) -> DataFrame:
     """The pairs (a, b) of representatives that are linked."""
-    m = members.where("doc_id = rep").select("rep", "n", "bits")
+    m = members.select("rep", "n", "bits")
     a, b = m.toDF("a", "na", "ba"), m.toDF("b", "nb", "bb")
     half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, F.size(x)), lambda u, v: u.bitwiseXOR(v))
     fold = lambda x, y: F.when(F.size(x) > F.size(y), half(F.col(x))).otherwise(F.col(x))
@@ -155,27 +145,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, again: bool
     return both.where(f"{DEN} * same >= {NUM} * (na + nb - same)").select("a", "b")
 
 
-def _active(hits: DataFrame) -> DataFrame:
-    """The smallest buckets of each document, as many as must hold one partner: of k shared cells a linked partner has at
-    least ``spare``, so k - spare + 1 are enough, and a document with k < spare is linked with nothing."""
-    own = ["rep", "spare"]
-    least = F.shiftright("spare", 5)
-    k = hits.groupBy(*own).agg(F.count("*").alias("k")).where(F.col("k") >= least)
-    rank = F.row_number().over(Window.partitionBy(*own).orderBy("c", "sig"))
-    return hits.join(k, own).withColumn("rank", rank).where(F.col("rank") <= F.col("k") - least + 1).select("sig", "rep", "center")
+def _marked(hits: DataFrame) -> DataFrame:
+    """Adds ``active`` for the smallest buckets of each document, as many as must hold one partner: of k shared cells a
+    linked partner has at least ``spare``, so k - spare + 1 are enough, and a document with k < spare is linked with nothing."""
+    own = Window.partitionBy("rep", "spare")
+    k, rank, least = F.count("*").over(own), F.row_number().over(own.orderBy("c", "sig")), F.shiftright("spare", 5)
+    return hits.select("sig", "rep", "center", ((k >= least) & (rank <= k - least + 1)).alias("active"))
+
 
+def _across(marked: DataFrame, comp: DataFrame, one: DataFrame) -> DataFrame:
+    """Near pairs of an active row and another one of its bucket that is in a different component.
 
-def _across(active: DataFrame, hits: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of an active row and another one of its bucket that is in a different component."""
-    c = comp.withColumnRenamed("node", "rep")
-    known = lambda df: df.join(c, "rep", "left").select("sig", "rep", F.coalesce("component", "rep").alias("comp"))
-    all_ = known(hits.join(active.select("sig").distinct(), "sig", "left_semi"))
-    open_ = all_.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("sig")
-    open_ = staged(open_, "open")
-    l = known(active.join(open_, "sig", "left_semi")).toDF("sig", "a", "ca")
-    r = known(hits.join(open_, "sig", "left_semi")).toDF("sig", "b", "cb")
-    both = l.join(r, "sig").where("ca <> cb")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    Buckets are met by their smallest member, of which a set of near copies has few, so that a pair is not compared once
+    for each cell that it shares."""
+    teams = marked.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("team", F.coalesce("component", "rep"))
+    known = F.col("active") & (F.col("rep") != F.col("center"))
+    open_ = teams.groupBy("sig").agg(F.min("team").alias("low"), F.max("team").alias("high"), F.count("*").alias("c"), F.max("active").alias("any"), F.max(known).alias("known"))
+    open_ = open_.where("low <> high AND any AND NOT (c = 2 AND known)").select("sig")
+    rows = staged(teams.join(open_, "sig").groupBy(F.col("center").alias("g"), F.col("rep").alias("x"), "team").agg(F.max("active").alias("asks")), "open")
+    sketches = one.select(F.col("rep").alias("x"), F.lit(0).alias("y"), "n", "bits")
+    pairs = near_pairs(rows.select("g", "x", F.lit(0).alias("y"), "team", "asks"), sketches)
+    return pairs.select(F.least("ax", "bx").alias("a"), F.greatest("ax", "bx").alias("b")).distinct()
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -188,15 +178,13 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = docs.where("doc_id IS NOT NULL").join(again, "doc_id", "left_anti")
     twins = _repeats(members)
     base = first.mapInArrow(_cells, "sig long, rep long, spare int")
-    hits = staged(_shared(base.distinct() if twins else base), "hits")
-    active = staged(_active(hits), "active")
+    marked = staged(_marked(_shared(base.distinct() if twins else base)), "marked")
     one = members.where("doc_id = rep").dropDuplicates(["rep"]) if twins else members.where("doc_id = rep")
 
-    stars = staged(active.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    stars = marked.where("active AND rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     edges = staged(_verified(stars, docs, one, twins), "links")
     comp = connected_components(edges, "a", "b")
-    pairs = _across(active, hits, comp).join(stars, ["a", "b"], "left_anti")
-    more = staged(_verified(pairs, docs, one, twins), "links")
+    more = staged(_verified(_across(marked, comp, one), docs, one, twins), "links")
     if more.take(1):
         comp = connected_components(edges.union(more), "a", "b")
     return members, comp
