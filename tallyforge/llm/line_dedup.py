@@ -10,17 +10,13 @@ least 0.75 with it, so a short line goes if it is an exact repeat, as words.
   count) come last, others by hash, the same order everywhere.  Two lines with J >= 0.75 share a token among the
   first n - ceil(0.75 n) + 1 of each, so these prefixes are joined; at a shared token the positions bound the
   overlap that is still possible, and lengths must be within 3/4.
-* In buckets of at most ``CAP`` lines every line is compared with the earlier ones.  Tokens of larger buckets count
-  as frequent too: all lines in such buckets are joined once more with these tokens last, which leaves large
-  buckets only to lines that consist of them.  There a line is compared with the first ``NEXT`` and, if it found no
-  match, with all earlier members.  A large group of variants of one line is thus mostly settled in linear work.
-* Parity sketches of 128 bits, whose Hamming distance is at most the symmetric difference, discard most
-  candidates; the whole token sets of the others are intersected.
+* A line of a shared bucket is compared with the bucket's earliest line first, which settles most copies and variants in
+  linear work.  What is left is compared with all earlier lines of its buckets by bit sketches in blocks (``blocks``),
+  so a pair becomes a row only if its sketches allow J >= 0.75; the whole token sets of these pairs are intersected.
 
 Scale: text is scanned a few times and not shuffled; prefixes (about a quarter of the tokens) are shuffled once.  The
 many copies of a frequent line are skipped by a bounded list of first occurrences; further copies only repeat
-candidates.  Frequent tokens, lines to join again and lines to verify are known by Bloom filters of bounded size; a
-false positive costs a row.
+candidates.  Lines to verify are known by Bloom filters of bounded size; a false positive costs a row.
 
 Defined cases: null and empty texts and lines without a word have no token and stay; rows that share a doc_id are one document's; the doc_id null rows
 lose nothing.
@@ -35,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.llm.blocks import near_pairs
 from tallyforge.llm.bloom import Bloom
-from tallyforge.llm.kernels import FOLDED, SEP, U, distinct_sets, mix, owner, pieces, rolling, runs, shingles, signed, span_hash, texts
+from tallyforge.llm.kernels import FOLDED, SEP, U, distinct_sets, mix, owner, parity_sketches, pieces, rolling, runs, shingles, signed, span_hash, texts
 from tallyforge.plans.scratch import staged
 
 K = 5
-FREQUENT, REPEATED, CAP, NEXT = 1 << 16, 1 << 16, 8, 8
+FREQUENT, REPEATED = 1 << 16, 1 << 16
 #: The size up to which only equal sets have J >= 0.75.
 SETTLED = 2
 
@@ -73,14 +70,8 @@ def _fingerprints(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(h), edge[:-1]) + np.diff(edge).astype(U)) if len(edge) > 1 else np.empty(0, U)
 
 
-_SCANNED = ["doc_id", "line", "n", "fp", "s0", "s1", "token", "c"]
-
-
-def _parity(h: np.ndarray, edge: np.ndarray, k: int) -> np.ndarray:
-    """64 bits for each line: the parity of its tokens hashed to each; their Hamming distance is at most the symmetric difference."""
-    own = (h >> U(20)) & U(1) == U(k)
-    bit = np.where(own, U(1) << ((h >> U(21)) & U(63)), U(0))
-    return signed(np.bitwise_xor.reduceat(bit, edge[:-1])) if len(edge) > 1 else np.empty(0, np.int64)
+_SCANNED = ["doc_id", "line", "n", "fp", "bits", "token", "c"]
+_KINDS = "doc_id long, line int, n int, fp long, bits array<long>, token long, c long"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,13 +81,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def frequent() -> pa.RecordBatch:
         t, c = np.unique(np.concatenate(held), return_counts=True)
         t, c = t[c > 2], c[c > 2]
-        none = [pa.nulls(len(t), x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())]
+        none = [pa.nulls(len(t), x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays([*none, pa.array(signed(t)), pa.array(c)], _SCANNED)
 
     for b in pieces(batches):
         h, edge, row, number = line_sets(b)
         ids = b.column("doc_id").take(pa.array(row))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(np.diff(edge).astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), *(pa.array(_parity(h, edge, k)) for k in (0, 1)), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], _SCANNED)
+        yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(np.diff(edge).astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), parity_sketches(h, edge, 128, 4), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], _SCANNED)
         joined = h[np.repeat(np.diff(edge) > SETTLED, np.diff(edge))]
         held.append(joined)
         size += len(joined)
@@ -107,17 +98,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc: np.ndarray, first_line: np.ndarray, hot: Bloom | None = None, wanted: Bloom | None = None, docs: Bloom | None = None):
-    """Rows (token, doc_id, line, ni): the prefix tokens, with the set's size and the position packed.
-
-    With filters: of the ``wanted`` lines in ``docs``, with the ``hot`` tokens last, and with the lines' sketches."""
+def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc: np.ndarray, first_line: np.ndarray):
+    """Rows (token, doc_id, line, ni): the prefix tokens, with the set's size and the position packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(docs.filter(batches, "doc_id") if docs else batches):
+        for b in pieces(batches):
             h, edge, row, number = line_sets(b)
             if not len(row):
                 continue
-            sketch = [_parity(h, edge, k) for k in (0, 1)] if hot else []
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)[row]
             f = signed(_fingerprints(h, edge))
             at = np.minimum(np.searchsorted(fps, f), max(len(fps) - 1, 0))
@@ -127,9 +115,6 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc
             own = np.repeat(np.arange(len(n)), n)
             k = np.minimum(np.searchsorted(tokens, h), max(len(tokens) - 1, 0))
             often = np.where(tokens[k] == h, counts[k], 0) if len(tokens) else np.zeros(len(h), np.int64)
-            if hot:
-                copy |= ~wanted.has(ids, number)
-                often += hot.has(signed(h)).astype(np.int64) << 40
             if often.any():
                 some = np.zeros(len(n), bool)
                 some[own[often > 0]] = True
@@ -139,7 +124,6 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, fps: np.ndarray, first_doc
             take = (place < (n - -(-3 * n // 4) + 1)[own]) & ~copy[own]
             own, place, h = own[take], place[take], h[take]
             cols = {"token": pa.array(signed(h)), "doc_id": pa.array(ids[own]), "line": pa.array(number[own].astype(np.int32)), "ni": pa.array((n[own] << 32) | place)}
-            cols |= {f"s{k}": pa.array(x[own]) for k, x in enumerate(sketch)}
             for i in range(0, len(h), 1 << 16):
                 yield pa.RecordBatch.from_arrays([c.slice(i, 1 << 16) for c in cols.values()], list(cols))
 
@@ -179,15 +163,6 @@ def _fits(ni: str, nj: str) -> str:
     return f"4 * least({n}, {m}) >= 3 * greatest({n}, {m}) AND 7 * (1 + least({n} - {i}, {m} - {j}) - 1 + least({i}, {j})) >= 3 * ({n} + {m})"
 
 
-APART = "7 * (bit_count(s0 ^ t0) + bit_count(s1 ^ t1)) <= nx + ny"
-
-
-def _sketched(pairs: DataFrame, every: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose sketches are near enough for J >= 0.75."""
-    k = every.select(F.struct("doc_id", "line").alias("id"), "n", "s0", "s1")
-    return pairs.join(k.toDF("x", "nx", "s0", "s1"), "x").join(k.toDF("y", "ny", "t0", "t1"), "y").where(F.expr(APART)).select("x", "y")
-
-
 def _matched(near: DataFrame, docs: DataFrame) -> DataFrame:
     """``x`` of the pairs (x, y) whose sets have J >= 0.75; the earliest partner of a line first, others only if it fails."""
     near = staged(near.distinct(), "near")
@@ -208,50 +183,42 @@ def _matched(near: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _hits(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets of two lines or more, with the bucket's size and the line's rank in it."""
+    """Rows of the buckets of two lines or more, with the bucket's size and its earliest line."""
     w = Window.partitionBy("token")
-    hits = rows.withColumn("x", F.struct("doc_id", "line")).drop("doc_id", "line")
-    return hits.withColumn("c", F.count("*").over(w)).where("c > 1").withColumn("rank", F.row_number().over(w.orderBy("x")))
+    rows = rows.select("token", F.struct("doc_id", "line").alias("x"), "ni")
+    return rows.withColumn("c", F.count("*").over(w)).withColumn("first", F.min(F.struct("x", "ni")).over(w)).where("c > 1").select("token", "x", "ni", "c", F.col("first.x").alias("y"), F.col("first.ni").alias("nj"))
+
 
+def _rest(hits: DataFrame, found: DataFrame, every: DataFrame) -> DataFrame:
+    """Near pairs (x, y) of a line that has no match yet and an earlier one of its buckets.
 
-def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
-    """Pairs of a line and an earlier one of its bucket that the filters let through."""
-    known = "s0" in x.columns
-    y = y.select("token", F.col("x").alias("y"), F.col("ni").alias("nj"), F.col("rank").alias("ry"), *(F.col(f"s{k}").alias(f"t{k}") for k in (0, 1) if known))
-    near = APART.replace("nx + ny", "shiftright(ni, 32) + shiftright(nj, 32)") if known else "true"
-    return x.join(y, "token").where(F.expr(f"ry < rank AND {_fits('ni', 'nj')} AND {near}")).select("x", "y")
+    Buckets are met by their earliest line, so that a pair is not compared once for each token that it shares."""
+    done = found.select("x", F.lit(True).alias("done"))
+    rows = hits.where("c > 2").join(done, "x", "left").select(F.xxhash64("y").alias("g"), "x.*", (F.col("done").isNull() & (F.col("x") != F.col("y"))).alias("asks"))
+    rows = rows.groupBy("g", F.col("doc_id").alias("x"), F.col("line").alias("y")).agg(F.max("asks").alias("asks"))
+    rows = staged(rows.withColumn("team", F.lit(0).cast("long")), "open")
+    pairs = near_pairs(rows, every.select(F.col("doc_id").alias("x"), F.col("line").alias("y"), "n", "bits"), earlier=True)
+    end = lambda k: F.struct(F.col(f"{k}x").alias("doc_id"), F.col(f"{k}y").alias("line"))
+    return pairs.select(end("a").alias("x"), end("b").alias("y"))
 
 
 def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, line)`` of the lines to remove, and ``(doc_id, line)`` of all lines with a word."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    seen = staged(docs.mapInArrow(_scan, "doc_id long, line int, n int, fp long, s0 long, s1 long, token long, c long"), "lines")
-    every = seen.where("token IS NULL").select("doc_id", "line", "fp")
+    seen = staged(docs.mapInArrow(_scan, _KINDS), "lines")
+    every = seen.where("token IS NULL").select("doc_id", "line", "n", "fp", "bits")
     groups = staged(every.groupBy("fp").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "line")).alias("first")).where("c > 1"), "groups")
-    copies = every.join(groups, "fp").where("struct(doc_id, line) <> first").select("doc_id", "line")
+    copies = every.select("doc_id", "line", "fp").join(groups, "fp").where("struct(doc_id, line) <> first").select("doc_id", "line")
 
     often = _most(staged(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("c").alias("c")), "often"), FREQUENT).toArrow()
     again = _most(groups, REPEATED).select("fp", "first.doc_id", "first.line").toArrow()
     tokens, counts = often.column("token").to_numpy().view(U), often.column("c").to_numpy()
     order, by_fp = np.argsort(tokens), np.argsort(again.column("fp").to_numpy())
     lists = [again.column(c).to_numpy()[by_fp] for c in ("fp", "doc_id", "line")]
-    known = (tokens[order], counts[order], *lists)
-    kinds = "token long, doc_id long, line int, ni long"
-    hits = staged(_hits(docs.mapInArrow(_prefixes(*known), kinds)), "hits")
-    few = hits.where(F.col("c") <= CAP)
-    near = _sketched(_pairs(few, few).distinct(), seen.where("token IS NULL").select("doc_id", "line", "n", "s0", "s1"))
-    many = hits.where(F.col("c") > CAP)
-    late = None
-    if many.take(1):
-        in_many = staged(many.select("x.*").distinct(), "in_many")
-        filters = (Bloom(many.select("token").distinct()), Bloom(in_many), Bloom(in_many.select("doc_id").distinct()))
-        late = staged(_hits(docs.mapInArrow(_prefixes(*known, *filters), f"{kinds}, s0 long, s1 long")), "late")
-        few, many = late.where(F.col("c") <= CAP), late.where(F.col("c") > CAP)
-        near = near.union(_pairs(few, few)).union(_pairs(many, many.where(F.col("rank") <= NEXT)))
-    found = _matched(near, docs)
-    if late is not None:
-        rest = many.where(F.col("rank") > NEXT + 1).join(found, "x", "left_anti")
-        found = found.union(_matched(_pairs(rest, many.where(F.col("rank") > NEXT)), docs))
+    hits = staged(_hits(docs.mapInArrow(_prefixes(tokens[order], counts[order], *lists), "token long, doc_id long, line int, ni long")), "hits")
+    stars = hits.where(F.expr(f"x <> y AND {_fits('ni', 'nj')}")).select("x", "y")
+    found = staged(_matched(stars, docs), "found")
+    found = found.union(_matched(_rest(hits, found, every), docs))
     return staged(copies.union(found.select("x.doc_id", "x.line")).distinct(), "removed"), every.select("doc_id", "line")
 
 
@@ -268,10 +235,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with the lines taken out of ``text``; other columns are carried along."""
     gone, _ = removed_lines(docs)
     marks = staged(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")), "marks")
-    marks = marks.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    rows = docs.join(marks.hint("merge"), F.col("doc_id") == F.col("_doc"), "left")
-    return rows.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)).drop("_doc", "_gone")
+    rows = docs.select(F.struct("*").alias("row")).join(marks.hint("merge"), F.col("row.doc_id") == F.col("doc_id"), "left")
+    text = F.col("row.text")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    text = F.when(F.col("gone").isNull(), text).otherwise(left)
+    return rows.select(*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def brute_force(rows: list[tuple[int, str | None]]) -> dict[int, list[int]]:
