@@ -12,12 +12,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS, HELD, PAIRS, WORDS = 2048, 8 << 20, 1 << 20, 1 << 21
 
 
+def may_match(na: str, nb: str, ba: str, bb: str) -> Column:
+    """Whether the sizes and bit sketches of two sets allow J >= 0.75."""
+    half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, F.size(x)), lambda u, v: u.bitwiseXOR(v))
+    fold = lambda x, y: F.when(F.size(x) > F.size(y), half(F.col(x))).otherwise(F.col(x))
+    hamming = F.aggregate(F.zip_with(fold(ba, bb), fold(bb, ba), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.when(F.least(na, nb) * 4 >= F.greatest(na, nb) * 3, 7 * hamming <= F.col(na) + F.col(nb)).otherwise(F.lit(False))
+
+
 def _blocked(rows: DataFrame) -> DataFrame:
     """Rows (g, i, j, x, y, team, role) of the blocks; role 1 asks, role 2 answers, role 3 does both."""
     size = rows.groupBy("g").agg(F.count("*").alias("c"), F.count_if("asks").alias("q")).where("q > 0 AND c > 1")

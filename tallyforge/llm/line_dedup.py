@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.llm.blocks import near_pairs
+from tallyforge.llm.blocks import may_match, near_pairs
 from tallyforge.llm.bloom import Bloom
 from tallyforge.llm.kernels import FOLDED, SEP, U, distinct_sets, mix, owner, parity_sketches, pieces, rolling, runs, shingles, signed, span_hash, texts
 from tallyforge.plans.scratch import staged
 
 K = 5
-FREQUENT, REPEATED = 1 << 16, 1 << 16
+FREQUENT, REPEATED = 1 << 16, 1 << 18
 #: The size up to which only equal sets have J >= 0.75.
 SETTLED = 2
 
@@ -70,24 +70,24 @@ def _fingerprints(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(h), edge[:-1]) + np.diff(edge).astype(U)) if len(edge) > 1 else np.empty(0, U)
 
 
-_SCANNED = ["doc_id", "line", "n", "fp", "bits", "token", "c"]
-_KINDS = "doc_id long, line int, n int, fp long, bits array<long>, token long, c long"
+_SCANNED = ["doc_id", "line", "fp", "token", "c"]
+_KINDS = "doc_id long, line int, fp long, token long, c long"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, line, n, fp), and rows (token, c) of tokens that occur three times or more in a stretch."""
+    """Rows (doc_id, line, fp), and rows (token, c) of tokens that occur three times or more in a stretch."""
     held, size = [], 0
 
     def frequent() -> pa.RecordBatch:
         t, c = np.unique(np.concatenate(held), return_counts=True)
         t, c = t[c > 2], c[c > 2]
-        none = [pa.nulls(len(t), x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))]
+        none = [pa.nulls(len(t), x) for x in (pa.int64(), pa.int32(), pa.int64())]
         return pa.RecordBatch.from_arrays([*none, pa.array(signed(t)), pa.array(c)], _SCANNED)
 
     for b in pieces(batches):
         h, edge, row, number = line_sets(b)
         ids = b.column("doc_id").take(pa.array(row))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(np.diff(edge).astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), parity_sketches(h, edge, 128, 4), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], _SCANNED)
+        yield pa.RecordBatch.from_arrays([ids, pa.array(number.astype(np.int32)), pa.array(signed(_fingerprints(h, edge))), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int64())], _SCANNED)
         joined = h[np.repeat(np.diff(edge) > SETTLED, np.diff(edge))]
         held.append(joined)
         size += len(joined)
@@ -142,19 +142,21 @@ def _most(counted: DataFrame, n: int) -> DataFrame:
     return counted.where(F.col("c") >= least)
 
 
-def _sets(wanted: Bloom, docs: Bloom):
-    """``(doc_id, line, h)`` for the wanted lines in ``docs``, and a few others."""
+def _wanted(docs: DataFrame, lines: DataFrame, whole: bool) -> DataFrame:
+    """``doc_id, line, n`` of the given lines and a few others, with their bit sketches or, if ``whole``, their tokens."""
+    wanted, some = Bloom(lines), Bloom(lines.select("doc_id").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(docs.filter(batches, "doc_id")):
+        for b in pieces(some.filter(batches, "doc_id")):
             h, edge, row, number = line_sets(b)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)[row]
             take = wanted.has(ids, number)
             n = np.diff(edge)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n[take]))).astype(np.int32)), pa.array(signed(h[np.repeat(take, n)])))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[take]), pa.array(number[take].astype(np.int32)), lists], ["doc_id", "line", "h"])
+            h, edge = h[np.repeat(take, n)], np.concatenate(([0], np.cumsum(n[take])))
+            lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(signed(h))) if whole else parity_sketches(h, edge, 128, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[take]), pa.array(number[take].astype(np.int32)), pa.array(n[take]), lists], ["doc_id", "line", "n", "bits"])
 
-    return run
+    return staged(docs.mapInArrow(run, "doc_id long, line int, n long, bits array<long>"), "sets" if whole else "sketches")
 
 
 def _fits(ni: str, nj: str) -> str:
@@ -163,14 +165,21 @@ def _fits(ni: str, nj: str) -> str:
     return f"4 * least({n}, {m}) >= 3 * greatest({n}, {m}) AND 7 * (1 + least({n} - {i}, {m} - {j}) - 1 + least({i}, {j})) >= 3 * ({n} + {m})"
 
 
-def _matched(near: DataFrame, docs: DataFrame) -> DataFrame:
+def _hits(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets of two lines or more, with the bucket's size and its earliest line."""
+    w = Window.partitionBy("token")
+    rows = rows.select("token", F.struct(F.struct("doc_id", "line").alias("x"), "ni").alias("own"))
+    rows = rows.select("own", F.count("*").over(w).alias("c"), F.min("own").over(w).alias("first")).where("c > 1")
+    return rows.select("own.x", "own.ni", "c", F.col("first.x").alias("y"), F.col("first.ni").alias("nj"))
+
+
+def _verified(near: DataFrame, docs: DataFrame) -> DataFrame:
     """``x`` of the pairs (x, y) whose sets have J >= 0.75; the earliest partner of a line first, others only if it fails."""
-    near = staged(near.distinct(), "near")
+    near = staged(near, "near")
     if not near.take(1):
         return near.select("x")
     ends = staged(near.select("x.*").union(near.select("y.*")).distinct(), "ends")
-    some = _sets(Bloom(ends), Bloom(ends.select("doc_id").distinct()))
-    s = staged(docs.mapInArrow(some, "doc_id long, line int, h array<long>"), "sets").select(F.struct("doc_id", "line").alias("id"), "h")
+    s = _wanted(docs, ends, True).select(F.struct("doc_id", "line").alias("id"), F.col("bits").alias("h"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(s.toDF("x", "hx"), "x").join(s.toDF("y", "hy"), "y").withColumn("same", F.size(F.array_intersect("hx", "hy")))
@@ -178,26 +187,18 @@ def _matched(near: DataFrame, docs: DataFrame) -> DataFrame:
 
     first = near.groupBy("x").agg(F.min("y").alias("y"))
     found = verified(first)
-    others = near.join(first.withColumnRenamed("y", "f"), "x").where("y <> f").select("x", "y").join(found, "x", "left_anti")
-    return found.union(verified(others)).distinct()
+    others = staged(near.join(first.withColumnRenamed("y", "f"), "x").where("y <> f").select("x", "y").join(found, "x", "left_anti"), "others")
+    return found.union(verified(others)) if others.take(1) else found
 
 
-def _hits(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets of two lines or more, with the bucket's size and its earliest line."""
-    w = Window.partitionBy("token")
-    rows = rows.select("token", F.struct("doc_id", "line").alias("x"), "ni")
-    return rows.withColumn("c", F.count("*").over(w)).withColumn("first", F.min(F.struct("x", "ni")).over(w)).where("c > 1").select("token", "x", "ni", "c", F.col("first.x").alias("y"), F.col("first.ni").alias("nj"))
-
-
-def _rest(hits: DataFrame, found: DataFrame, every: DataFrame) -> DataFrame:
+def _rest(hits: DataFrame, done: DataFrame, sets: DataFrame) -> DataFrame:
     """Near pairs (x, y) of a line that has no match yet and an earlier one of its buckets.
 
     Buckets are met by their earliest line, so that a pair is not compared once for each token that it shares."""
-    done = found.select("x", F.lit(True).alias("done"))
-    rows = hits.where("c > 2").join(done, "x", "left").select(F.xxhash64("y").alias("g"), "x.*", (F.col("done").isNull() & (F.col("x") != F.col("y"))).alias("asks"))
-    rows = rows.groupBy("g", F.col("doc_id").alias("x"), F.col("line").alias("y")).agg(F.max("asks").alias("asks"))
-    rows = staged(rows.withColumn("team", F.lit(0).cast("long")), "open")
-    pairs = near_pairs(rows, every.select(F.col("doc_id").alias("x"), F.col("line").alias("y"), "n", "bits"), earlier=True)
+    rows = hits.groupBy(F.xxhash64("y").alias("g"), "x").agg(F.max((F.col("c") > 2) & (F.col("x") != F.col("y"))).alias("asks"))
+    rows = rows.join(done.select("x", "copy"), "x", "left").where("copy IS NULL OR NOT copy")
+    rows = staged(rows.select("g", F.col("x.doc_id").alias("x"), F.col("x.line").alias("y"), F.lit(0).cast("long").alias("team"), (F.col("asks") & F.col("copy").isNull()).alias("asks")), "open")
+    pairs = near_pairs(rows, sets.select(F.col("doc_id").alias("x"), F.col("line").alias("y"), "n", "bits"), earlier=True)
     end = lambda k: F.struct(F.col(f"{k}x").alias("doc_id"), F.col(f"{k}y").alias("line"))
     return pairs.select(end("a").alias("x"), end("b").alias("y"))
 
@@ -206,9 +207,9 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, line)`` of the lines to remove, and ``(doc_id, line)`` of all lines with a word."""
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     seen = staged(docs.mapInArrow(_scan, _KINDS), "lines")
-    every = seen.where("token IS NULL").select("doc_id", "line", "n", "fp", "bits")
+    every = seen.where("token IS NULL").select("doc_id", "line", "fp")
     groups = staged(every.groupBy("fp").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "line")).alias("first")).where("c > 1"), "groups")
-    copies = every.select("doc_id", "line", "fp").join(groups, "fp").where("struct(doc_id, line) <> first").select("doc_id", "line")
+    copies = staged(every.join(groups, "fp").where("struct(doc_id, line) <> first").select("doc_id", "line"), "copies")
 
     often = _most(staged(seen.where("token IS NOT NULL").groupBy("token").agg(F.sum("c").alias("c")), "often"), FREQUENT).toArrow()
     again = _most(groups, REPEATED).select("fp", "first.doc_id", "first.line").toArrow()
@@ -216,9 +217,16 @@ def removed_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     order, by_fp = np.argsort(tokens), np.argsort(again.column("fp").to_numpy())
     lists = [again.column(c).to_numpy()[by_fp] for c in ("fp", "doc_id", "line")]
     hits = staged(_hits(docs.mapInArrow(_prefixes(tokens[order], counts[order], *lists), "token long, doc_id long, line int, ni long")), "hits")
-    stars = hits.where(F.expr(f"x <> y AND {_fits('ni', 'nj')}")).select("x", "y")
-    found = staged(_matched(stars, docs), "found")
-    found = found.union(_matched(_rest(hits, found, every), docs))
+
+    known = copies.select(F.struct("doc_id", "line").alias("x"))
+    stars = staged(hits.where(F.expr(f"x <> y AND {_fits('ni', 'nj')}")).select("x", "y").distinct().join(known, "x", "left_anti"), "stars")
+    lines = staged(hits.select("x.*").distinct().join(copies, ["doc_id", "line"], "left_anti"), "wanted")
+    sketches = _wanted(docs, lines, False)
+    k = sketches.select(F.struct("doc_id", "line").alias("id"), "n", "bits")
+    near = stars.join(k.toDF("x", "nx", "bx"), "x").join(k.toDF("y", "ny", "by"), "y").where(may_match("nx", "ny", "bx", "by")).select("x", "y")
+    found = _verified(near, docs)
+    done = known.withColumn("copy", F.lit(True)).union(found.withColumn("copy", F.lit(False)))
+    found = found.union(_verified(_rest(hits, done, sketches), docs))
     return staged(copies.union(found.select("x.doc_id", "x.line")).distinct(), "removed"), every.select("doc_id", "line")
 
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tallyforge.llm.blocks import near_pairs
+from tallyforge.llm.blocks import may_match, near_pairs
 from tallyforge.llm.bloom import Bloom
 from tallyforge.llm.kernels import U, distinct_sets, mix, parity_sketches, pieces, shingles, signed, texts, words
 from tallyforge.operators.components import connected_components
@@ -133,11 +133,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, again: bool
     """The pairs (a, b) of representatives that are linked."""
     m = members.select("rep", "n", "bits")
     a, b = m.toDF("a", "na", "ba"), m.toDF("b", "nb", "bb")
-    half = lambda x: F.zip_with(F.slice(x, 1, (F.size(x) / 2).cast("int")), F.slice(x, (F.size(x) / 2).cast("int") + 1, F.size(x)), lambda u, v: u.bitwiseXOR(v))
-    fold = lambda x, y: F.when(F.size(x) > F.size(y), half(F.col(x))).otherwise(F.col(x))
-    hamming = F.aggregate(F.zip_with(fold("ba", "bb"), fold("bb", "ba"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    sized = pairs.join(a, "a").join(b, "b").where("least(na, nb) * 100 >= greatest(na, nb) * 75")
-    near = staged(sized.where(7 * hamming <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb"), "near")
+    near = staged(pairs.join(a, "a").join(b, "b").where(may_match("na", "nb", "ba", "bb")).select("a", "b", "na", "nb"), "near")
     used = Bloom(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct())
     rows = docs.where("doc_id IS NOT NULL").mapInArrow(_sets(used), "rep long, h array<long>")
     sets = staged(rows.dropDuplicates(["rep"]) if again else rows, "sets")
