@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 18
-ROWS = 512
+BATCH = 1 << 20
 U = np.uint64
 SEP = np.zeros(256, bool)
 SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -26,10 +26,11 @@ BASE_INV = U(pow(int(BASE), -1, 1 << 64))
 
 
 def narrow_batches(spark) -> None:
-    """Let Spark hand texts to Python by at most ROWS rows, not 10,000: a batch is held by the JVM and by Python."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= ROWS:
-        spark.conf.set(key, str(ROWS))
+    """Let Spark hand rows to Python by at most about BATCH bytes, not 64 MB: a batch is held by the JVM and by Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("bB")
+    if not now.isdigit() or int(now) > BATCH:
+        spark.conf.set(key, str(BATCH))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
