@@ -6,9 +6,12 @@ training tokens, with one slot for unknown words in every class.  So the state t
 corpus size, while word counts cover the whole vocabulary.
 
 * Counting: every training word is counted, partially aggregated in each task.
-* Training: a bounded passage sample gives starting values; then each of ``ROUNDS`` Baum-Welch rounds reads all
-  training text, in segments of ``SEGMENT`` tokens, and adds up expected counts across partitions.
-* Scoring: the scaled forward recursion runs over the whole text of a document, so its likelihood is exact.
+* Training: at most 600 passages of 2,500 characters at hashed offsets give starting values; then each of ``ROUNDS``
+  Baum-Welch rounds reads all training text and adds up expected counts across partitions.  Texts are read in segments of
+  ``SEGMENT`` tokens: a segment that goes on from another starts from the states' mean occupancy, and counts no start and
+  no move between the two.
+* Scoring: the scaled forward recursion runs over the whole text of a document, so its likelihood is exact; the
+  documents of a block take their steps together.
 
 Looking up counts at scale: each scan task gathers documents into blocks of about ``BLOCK`` bytes and asks once for
 each distinct word of a block.  Requests travel as sorted arrays, one for each block and range of word hashes, and
@@ -70,8 +73,9 @@ def vocabulary(train: DataFrame) -> DataFrame:
 class Model:
     """Start, transition and emission probabilities; class CLASSES is the end."""
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, usual: np.ndarray | None = None):
         self.start, self.move, self.emit = start, move, emit
+        self.usual = np.full(len(start), 1 / len(start)) if usual is None else usual
 
     @classmethod
     def random(cls, usual: np.ndarray, seed: int = 3) -> Model:
@@ -81,16 +85,19 @@ class Model:
 
     @classmethod
     def counted(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, usual: np.ndarray, strength: float = 20.0) -> Model:
+        held = emit.sum(0) + 0.1
         emit = emit + strength * usual[:, None]
-        return cls((start + 0.1) / (start + 0.1).sum(), (move + 0.1) / (move + 0.1).sum(1, keepdims=True), emit / emit.sum(0))
+        return cls((start + 0.1) / (start + 0.1).sum(), (move + 0.1) / (move + 0.1).sum(1, keepdims=True), emit / emit.sum(0), held / held.sum())
 
-    def expect(self, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected start, transition and emission counts of (time, segments) classes; -1 is padding at the end."""
+    def expect(self, steps: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected start, transition and emission counts of (time, segments) classes; -1 is padding at the end.
+
+        ``first`` tells which segments begin a text."""
         live = steps >= 0
         e = self.emit[np.where(live, steps, 0)]
         e[~live] = 1.0
         alpha, scale = np.empty_like(e), np.empty(steps.shape)
-        a = self.start * e[0]
+        a = np.where(first[:, None], self.start, self.usual) * e[0]
         for t in range(len(steps)):
             if t:
                 a = (a @ self.move) * e[t]
@@ -108,7 +115,7 @@ class Model:
         gamma /= np.maximum(gamma.sum(2, keepdims=True), 1e-300)
         at = steps[live]
         emit = np.stack([np.bincount(at, gamma[:, :, k][live], CLASSES + 1) for k in range(STATES)], 1)
-        return gamma[0].sum(0), move, emit
+        return gamma[0][first].sum(0), move, emit
 
     def log10(self, classes: np.ndarray, edge: np.ndarray) -> np.ndarray:
         """Exact log10 likelihood of each sequence classes[edge[i]:edge[i+1]], by the scaled forward recursion."""
@@ -137,24 +144,27 @@ def _sequences(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(class_of(h), edge[1:], CLASSES), edge + np.arange(b.num_rows + 1)
 
 
-def _segments(classes: np.ndarray, edge: np.ndarray) -> np.ndarray:
-    """(SEGMENT, segments), padded with -1."""
+def _segments(classes: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(SEGMENT, segments), padded with -1, and which of them begin a text."""
     count = -(-np.diff(edge) // SEGMENT)
     doc = np.repeat(np.arange(len(count)), count)
     start = edge[:-1][doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * SEGMENT
     at = start + np.arange(SEGMENT)[:, None]
-    return np.where(at < edge[1:][doc], np.append(classes, -1)[np.minimum(at, len(classes))], -1)
+    return np.where(at < edge[1:][doc], np.append(classes, -1)[np.minimum(at, len(classes))], -1), start == edge[:-1][doc]
 
 
 def _start(train: DataFrame, usual: np.ndarray, n: int, sample: int = 600, passage: int = 2500, rounds: int = 25) -> Model:
     """Starting values from at most ``sample`` passages."""
     luck = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30))
-    rows = train.where(luck < int(min(1.0, 1.5 * sample / max(n, 1)) * (1 << 30))).select(luck.alias("luck"), F.substring("text", 1, passage).alias("text")).orderBy("luck", "text").limit(sample).select("text").toArrow()
+    at = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.greatest(F.length("text") - passage, F.lit(0)) + 1).cast("int")
+    rows = train.where(luck < int(min(1.0, 1.5 * sample / max(n, 1)) * (1 << 30)))
+    rows = rows.select(luck.alias("luck"), F.substring("text", at + 1, F.lit(passage)).alias("text"), at.alias("at")).orderBy("luck", "text").limit(sample).toArrow()
     model = Model.random(usual)
     if rows.num_rows:
-        steps = _segments(*_sequences(pa.RecordBatch.from_arrays([rows.column("text").combine_chunks()], ["text"])))
+        steps, first = _segments(*_sequences(pa.RecordBatch.from_arrays([rows.column("text").combine_chunks()], ["text"])))
+        first[first] = rows.column("at").to_numpy() == 0
         for _ in range(rounds):
-            model = Model.counted(*model.expect(steps), usual)
+            model = Model.counted(*model.expect(steps, first), usual)
     return model
 
 
@@ -164,9 +174,9 @@ def baum_welch(train: DataFrame, model: Model, usual: np.ndarray) -> Model:
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES + 1, STATES))
         for b in pieces(batches):
-            steps = _segments(*_sequences(b))
+            steps, first = _segments(*_sequences(b))
             for at in range(0, steps.shape[1], 512):
-                s, m, e = model.expect(steps[:, at : at + 512])
+                s, m, e = model.expect(steps[:, at : at + 512], first[at : at + 512])
                 start += s
                 move += m
                 emit += e
@@ -191,17 +201,20 @@ def _blocks(model: Model, deficit: np.ndarray, n_ranges: int):
     def block(number: int, held: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         h = np.concatenate([x[1] for x in held])
         distinct, local = np.unique(h, return_inverse=True)
-        done = 0
+        counts = np.concatenate([np.bincount(row, minlength=b.num_rows) for b, _, row in held])
+        stops = np.cumsum(counts)
+        classes = class_of(h)
+        docs = np.repeat(np.arange(len(counts)), counts)
+        scores = model.log10(np.insert(classes, stops, CLASSES), np.concatenate(([0], stops)) + np.arange(len(counts) + 1)) - np.bincount(docs, deficit[classes], len(counts))
+        done = upto = 0
         for b, own, row in held:
             idx = local[done : done + len(own)]
             done += len(own)
             pair, tf = np.unique(row * (1 << 32) + idx, return_counts=True)
             edge = np.searchsorted(pair >> 32, np.arange(b.num_rows + 1)).astype(np.int32)
-            classes = class_of(own)
-            at = np.searchsorted(row, np.arange(b.num_rows + 1))
-            score = model.log10(np.insert(classes, at[1:], CLASSES), at + np.arange(b.num_rows + 1)) - np.bincount(row, deficit[classes], b.num_rows)
+            score, n = scores[upto : upto + b.num_rows], pa.array(counts[upto : upto + b.num_rows] + 1)
+            upto += b.num_rows
             lists = [pa.ListArray.from_arrays(pa.array(edge), pa.array(x)) for x in ((pair & 0xFFFFFFFF).astype(np.int32), tf.astype(np.int32))]
-            n = pa.array(np.diff(at) + 1)
             yield _rows(b.num_rows, block=pa.array(np.full(b.num_rows, number)), doc_id=b.column("doc_id"), held_out=b.column("held_out"), n_tokens=n, score=pa.array(score), idx=lists[0], tf=lists[1])
         part = ((distinct >> U(32)) * U(n_ranges) >> U(32)).astype(np.int32)
         edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.empty(0, np.int64)
