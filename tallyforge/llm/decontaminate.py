@@ -3,14 +3,14 @@
 Texts are compared as words (A-Z as a-z) joined by one space.  A document is contaminated by an item if some part of
 it is within edit distance ``k = floor(SHARE * n)`` of the item's n characters.
 
-* Grams: the q-character grams of a document are looked up in the items' grams, in one band of diagonals (position in
-  the document less position in the item) after another.  k edits move a match over at most k + 1 diagonals, so two
-  neighbouring bands of k + 1 hold it whole.
-* Items under ``SMALL`` characters: k edits leave one of k + 1 pieces unchanged, so q = n // (k + 1), at most 4, and one
+* Grams: the q-letter grams of a document, spaces left out, are looked up in the items' grams, in one band of diagonals
+  (position in the document less position in the item) after another.  Leaving out spaces adds no edits, and joined and
+  split words look alike.  k edits move a match over at most k + 1 diagonals, so two neighbouring bands of k + 1 hold it
+  whole.
+* Items under ``SMALL`` letters: k edits leave one of k + 1 pieces unchanged, so q = n // (k + 1), at most 4, and one
   gram in the bands is enough: no match within the bound is lost.
-* Longer items: q is 6 or 7, and the bands need half as many grams as k edits at random places leave in all but 0.5 % of
-  trials (``needed``).  They are looked up a second time without the spaces, which joined and split words leave as
-  they are.  Only a match whose edits are spread so evenly that fewer stay is lost.
+* Longer items: q is ``GRAM``, and the bands need ``NEED`` times as many grams as k edits at random places leave in all
+  but 0.5 % of trials (``needed``).  Only a match whose edits are spread so evenly that fewer stay is lost.
 * What the grams propose, widened by the bound, is verified by exact approximate-substring dynamic programming
   (Sellers); no other filter comes between.
 * Items of fewer than five words are too short for edits and match word for word, up to 64-bit hash collisions.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.kernels import BASE, LOWER, SEP, U, mix, owner, pieces, texts, words
 
 SHARE, LEAST = 0.2, 5
-SMALL, MIDDLE, JOINED = 50, 120, 4
+SMALL, GRAM, NEED, JOINED = 42, 6, 0.85, 2
 SLICE = 8 << 20
 BATCH, HELD, TABLE = 8192, 1 << 22, 1 << 21
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -116,28 +116,27 @@ def _bits(p: np.ndarray, n: np.ndarray, which: np.ndarray, text: list[str], bloc
     return out
 
 
-def gram_size(n: int) -> int:
-    if n < SMALL:
-        return max(1, min(4, n // (int(SHARE * n) + 1)))
-    return 6 if n < MIDDLE else 7
+def gram_size(n: int, k: int) -> int:
+    """For n letters and k edits."""
+    return max(1, min(4, n // (k + 1))) if n < SMALL else GRAM
 
 
 @cache
-def _least(n: int, q: int) -> int:
-    """The 0.5 % quantile of the grams of n characters that floor(SHARE * n) replaced ones leave unchanged."""
+def _least(n: int, k: int) -> int:
+    """The 0.5 % quantile of the grams of n letters that k replaced ones leave unchanged."""
     draw = np.random.default_rng((29, n)).random((1000, n))
     hit = np.zeros((1000, n + 1), np.int32)
-    np.put_along_axis(hit, np.argpartition(draw, int(SHARE * n), axis=1)[:, : int(SHARE * n)] + 1, 1, axis=1)
+    np.put_along_axis(hit, np.argpartition(draw, k, axis=1)[:, :k] + 1, 1, axis=1)
     hit = hit.cumsum(1)
-    return int(np.quantile((hit[:, q:] == hit[:, :-q]).sum(1), 0.005))
+    return int(np.quantile((hit[:, GRAM:] == hit[:, :-GRAM]).sum(1), 0.005))
 
 
-def needed(n: int) -> int:
-    """The grams that a match of an item of n characters must have in its bands."""
+def needed(n: int, k: int) -> int:
+    """The grams that a match of an item of n letters must have in its bands."""
     if n < SMALL:
         return 1
     near = n - n % 10 if n < 2000 else 2000
-    return max(1, _least(near, gram_size(n)) * n // near // 2)
+    return max(1, int(_least(near, min(near - 1, k * near // n)) * n / near * NEED))
 
 
 def characters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,21 +200,18 @@ class Items:
         self.ids, self.texts = np.array(ids, np.int64), [normal(x.encode()) for x in raw]
         self.n = np.array([len(x) for x in self.texts], np.int64)
         self.k = np.array([int(SHARE * n) for n in self.n], np.int64)
-        self.views: list[list[tuple[int, Lookup, np.ndarray, np.ndarray]]] = []
-        for tight in (False, True):
-            own_texts = [x.replace(" ", "") for x in self.texts] if tight else self.texts
-            n = np.array([len(x) for x in own_texts], np.int64)
-            use = (count >= LEAST) & ((n >= SMALL) | (not tight))
-            least = np.array([needed(int(x)) if u else 0 for x, u in zip(n, use, strict=True)], np.int64)
-            sizes = np.array([gram_size(int(x)) for x in n], np.int64)
-            cp, size = characters(*texts(pa.array(own_texts, pa.large_string())))
-            at = owner(size, np.arange(len(cp)))
-            view = []
-            for q in np.unique(sizes[use]).tolist():
-                g, p = runs_of(cp.astype(U), at, q)
-                own = ((sizes == q) & use)[at[p]]
-                view.append((q, Lookup(g[own], at[p[own]], p[own] - size[at[p[own]]]), least, n))
-            self.views.append(view)
+        own_texts = [x.replace(" ", "") for x in self.texts]
+        self.letters = np.array([len(x) for x in own_texts], np.int64)
+        use = count >= LEAST
+        self.least = np.array([needed(int(x), int(k)) if u else 0 for x, k, u in zip(self.letters, self.k, use, strict=True)], np.int64)
+        sizes = np.array([gram_size(int(x), int(k)) for x, k in zip(self.letters, self.k, strict=True)], np.int64)
+        cp, size = characters(*texts(pa.array(own_texts, pa.large_string())))
+        at = owner(size, np.arange(len(cp)))
+        self.grams: list[tuple[int, Lookup]] = []
+        for q in np.unique(sizes[use]).tolist():
+            g, p = runs_of(cp.astype(U), at, q)
+            own = ((sizes == q) & use)[at[p]]
+            self.grams.append((q, Lookup(g[own], at[p[own]], p[own] - size[at[p[own]]])))
         self.whole: list[tuple[int, Lookup]] = []
         for m in range(1, LEAST):
             if (count == m).any():
@@ -236,24 +232,25 @@ class Items:
     def windows(self, b: pa.RecordBatch) -> Iterator[tuple[int, int, str]]:
         """(row, item, window) for each stretch of bands with enough grams, widened by the bound."""
         cp, size = characters(*texts(b.column("text")))
-        for tight, view in enumerate(self.views):
-            place = np.flatnonzero(cp != 32) if tight else np.arange(len(cp))
-            edge = np.searchsorted(place, size)
-            letters = cp[place].astype(U)
-            row = np.repeat(np.arange(b.num_rows), np.diff(edge))
-            for q, lookup, least, n in view:
-                for d, item, start, end in self._bands(letters, row, edge, q, lookup, least, n):
-                    low, high = int(edge[d]), int(edge[d + 1])
-                    first, last = max(low, low + start), min(high, low + end)
-                    if last > first:
-                        yield d, item, cp[int(place[first]) : int(place[last - 1]) + 1].tobytes().decode("utf-32-le", "surrogatepass")
-
-    def _bands(self, letters: np.ndarray, row: np.ndarray, edge: np.ndarray, q: int, lookup: Lookup, least: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(row, item, start, end) of the stretches in one view, up to ``JOINED`` neighbouring bands in each."""
+        place = np.flatnonzero(cp != 32)
+        edge = np.searchsorted(place, size)
+        letters = cp[place].astype(U)
+        row = np.repeat(np.arange(b.num_rows), np.diff(edge))
+        for q, lookup in self.grams:
+            d, item, start, end = self._bands(letters, row, edge, q, lookup)
+            first, last = np.maximum(edge[d], edge[d] + start), np.minimum(edge[d + 1], edge[d] + end)
+            full = last > first
+            low, high = place[first[full]], place[last[full] - 1] + 1
+            for r, i, x, y in zip(d[full].tolist(), item[full].tolist(), low.tolist(), high.tolist(), strict=True):
+                yield r, i, cp[x:y].tobytes().decode("utf-32-le", "surrogatepass")
+
+    def _bands(self, letters: np.ndarray, row: np.ndarray, edge: np.ndarray, q: int, lookup: Lookup) -> tuple[np.ndarray, ...]:
+        """Rows, items, starts and ends of the stretches, up to ``JOINED`` neighbouring bands in each."""
         g, p = runs_of(letters, row, q)
         i, j = lookup.find(g)
         if not len(i):
-            return
+            return (np.empty(0, np.int64),) * 4
+        n, least = self.letters, self.least
         pad = int(n.max())
         p, item = p[i], lookup.item[j]
         band = (p - edge[row[p]] - lookup.offset[j] + pad) // (self.k + 1)[item]
@@ -261,14 +258,12 @@ class Items:
         key, c = np.unique((row[p] * len(n) + item) * many + band, return_counts=True)
         after = np.append(key[1:] == key[:-1] + 1, False)
         key = key[c + np.where(after, np.append(c[1:], 0), 0) >= least[key // many % len(n)]]
-        if not len(key):
-            return
-        fresh = np.flatnonzero(np.append(True, key[1:] != key[:-1] + 1))
+        fresh = np.flatnonzero(np.append(True, key[1:] != key[:-1] + 1)) if len(key) else key
         place = np.arange(len(key)) - np.repeat(fresh, np.diff(np.append(fresh, len(key))))
-        for x in key[place % JOINED == 0].tolist():
-            d, item, first = x // many // len(n), x // many % len(n), x % many
-            k = int(self.k[item])
-            yield d, item, first * (k + 1) - pad - k, (first + JOINED + 1) * (k + 1) - pad + k + int(n[item])
+        key = key[place % JOINED == 0]
+        item, first = key // many % len(n), key % many
+        k = self.k[item]
+        return key // many // len(n), item, first * (k + 1) - pad - k, (first + JOINED + 1) * (k + 1) - pad + k + n[item]
 
 
 def _matches(items: Items):
