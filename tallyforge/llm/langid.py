@@ -4,8 +4,8 @@ Gates use the piecewise linear sigmoid ``clip(x/4 + 1/2, 0, 1)`` and candidates
 which cost a quarter of exact ones in numpy.  The network reads segments of ``SEGMENT`` bytes in both directions, labels every byte position
 with a distribution over languages, and a document's probabilities are the mean over all its
 positions.  It is trained by backpropagation through time on a bounded sample: at most
-``sample_docs`` labelled rows with one passage of at most ``PASSAGE`` characters each, spread
-evenly over the languages.  Prediction reads every byte of every document.
+2 * ``sample_docs`` labelled rows (about ``sample_docs``, as luck has it) with one passage of at most ``PASSAGE``
+characters each, spread evenly over the ``max_langs`` most frequent languages.  Prediction reads every byte of every document.
 
 Scale: after two small training jobs the prediction is one scan without a shuffle; the model
 (a few kB) travels with the tasks.  Rows of any length are cut into segments, so memory depends
@@ -197,10 +197,10 @@ def segments_of(passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, np.uint8).reshape(len(rows), SEGMENT), np.array(at, np.int64)
 
 
-def fit(labelled: DataFrame, sample_docs: int = 1600, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: float) -> tuple[list[str], dict[str, np.ndarray] | None]:
+def fit(labelled: DataFrame, sample_docs: int = 1600, max_langs: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: float) -> tuple[list[str], dict[str, np.ndarray] | None]:
     """Languages and model, from rows whose text and language are not null."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(256).collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_langs).collect()}
     if not counts:
         return [], None
     share = sample_docs / len(counts)
@@ -233,8 +233,17 @@ def predict(docs: DataFrame, langs: list[str], model: dict[str, np.ndarray] | No
     return rows.mapInArrow(read, schema).withColumnRenamed("id", id_col)
 
 
+def learn(docs: DataFrame, folds: int = 4, held: int = 2, **options: float) -> tuple[list[str], dict[str, np.ndarray] | None]:
+    """Languages and model from all folds but ``held``."""
+    return fit(docs.select("doc_id", "text", "lang").where(fold("doc_id", folds) != held), **options)
+
+
+def chance(n_langs: int) -> float:
+    """A tenth of the way from even odds to certainty: a long text below it is in none of the languages."""
+    return 1 / n_langs + 0.1 * (1 - 1 / n_langs)
+
+
 def identify(docs: DataFrame, folds: int = 4, held: int = 2, **options: float) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``: learns from the other folds, predicts all rows."""
-    out = fold("doc_id", folds) == held
-    langs, model = fit(docs.select("doc_id", "text", "lang").where(~out), **options)
-    return predict(docs.select("doc_id", "text", out.alias("held")), langs, model).withColumnRenamed("held", "held_out")
+    langs, model = learn(docs, folds, held, **options)
+    return predict(docs.select("doc_id", "text", (fold("doc_id", folds) == held).alias("held")), langs, model).withColumnRenamed("held", "held_out")
