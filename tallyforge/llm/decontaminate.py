@@ -5,12 +5,13 @@ it is within edit distance ``k = floor(SHARE * n)`` of the item's n characters.
 
 * Grams: the q-letter grams of a document, spaces left out, are looked up in the items' grams, in one band of diagonals
   (position in the document less position in the item) after another.  Leaving out spaces adds no edits, and joined and
-  split words look alike.  k edits move a match over at most k + 1 diagonals, so two neighbouring bands of k + 1 hold it
-  whole.
+  split words look alike.  k edits move a match over at most k + 1 diagonals, so two neighbouring wide bands of k + 1
+  hold it whole.
 * Items under ``SMALL`` letters: k edits leave one of k + 1 pieces unchanged, so q = n // (k + 1), at most 4, and one
   gram in the bands is enough: no match within the bound is lost.
-* Longer items: q is ``GRAM``, and the bands need ``NEED`` times as many grams as k edits at random places leave in all
-  but 0.5 % of trials (``needed``).  Only a match whose edits are spread so evenly that fewer stay is lost.
+* Longer items: q is 5 or 6.  As many grams as k edits at random places leave in all but 0.5 % of trials are ``usual``;
+  a match must have ``NEAR`` times as many in two neighbouring bands of a ``FINE``-th of that width, or ``WIDE`` times as many
+  in two wide ones.  Only a match whose edits are spread so evenly, or drift so steadily, that fewer stay is lost.
 * What the grams propose, widened by the bound, is verified by exact approximate-substring dynamic programming
   (Sellers); no other filter comes between.
 * Items of fewer than five words are too short for edits and match word for word, up to 64-bit hash collisions.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.kernels import BASE, LOWER, SEP, U, mix, owner, pieces, texts, words
 
 SHARE, LEAST = 0.2, 5
-SMALL, GRAM, NEED, JOINED = 42, 6, 0.85, 2
+SMALL, MIDDLE, FINE, NEAR, WIDE, JOINED = 42, 120, 4, 0.75, 1.75, 2
 SLICE = 8 << 20
 BATCH, HELD, TABLE = 8192, 1 << 22, 1 << 21
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -118,25 +119,23 @@ def _bits(p: np.ndarray, n: np.ndarray, which: np.ndarray, text: list[str], bloc
 
 def gram_size(n: int, k: int) -> int:
     """For n letters and k edits."""
-    return max(1, min(4, n // (k + 1))) if n < SMALL else GRAM
+    return max(1, min(4, n // (k + 1))) if n < SMALL else 5 if n < MIDDLE else 6
 
 
 @cache
-def _least(n: int, k: int) -> int:
+def _least(n: int, k: int, q: int) -> int:
     """The 0.5 % quantile of the grams of n letters that k replaced ones leave unchanged."""
     draw = np.random.default_rng((29, n)).random((1000, n))
     hit = np.zeros((1000, n + 1), np.int32)
     np.put_along_axis(hit, np.argpartition(draw, k, axis=1)[:, :k] + 1, 1, axis=1)
     hit = hit.cumsum(1)
-    return int(np.quantile((hit[:, GRAM:] == hit[:, :-GRAM]).sum(1), 0.005))
+    return int(np.quantile((hit[:, q:] == hit[:, :-q]).sum(1), 0.005))
 
 
-def needed(n: int, k: int) -> int:
-    """The grams that a match of an item of n letters must have in its bands."""
-    if n < SMALL:
-        return 1
+def usual(n: int, k: int) -> float:
+    """The grams that a match of an item of n letters nearly always has, if its edits are at random places."""
     near = n - n % 10 if n < 2000 else 2000
-    return max(1, int(_least(near, min(near - 1, k * near // n)) * n / near * NEED))
+    return _least(near, min(near - 1, k * near // n), gram_size(n, k)) * n / near
 
 
 def characters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,6 +189,12 @@ class Lookup:
         return np.repeat(hit, n), np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
+def _two(key: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The counts of each band and the next one together."""
+    after = np.append(key[1:] == key[:-1] + 1, False)
+    return c + np.where(after, np.append(c[1:], 0), 0)
+
+
 class Items:
     """The items of a slice with their grams, and the short ones with their words."""
 
@@ -203,7 +208,9 @@ class Items:
         own_texts = [x.replace(" ", "") for x in self.texts]
         self.letters = np.array([len(x) for x in own_texts], np.int64)
         use = count >= LEAST
-        self.least = np.array([needed(int(x), int(k)) if u else 0 for x, k, u in zip(self.letters, self.k, use, strict=True)], np.int64)
+        least = np.array([usual(int(x), int(k)) if u and x >= SMALL else 0 for x, k, u in zip(self.letters, self.k, use, strict=True)])
+        self.near, self.wide = (np.maximum(1, np.where(self.letters < SMALL, 1, least * x)) for x in (NEAR, WIDE))
+        self.width = (self.k + FINE) // FINE
         sizes = np.array([gram_size(int(x), int(k)) for x, k in zip(self.letters, self.k, strict=True)], np.int64)
         cp, size = characters(*texts(pa.array(own_texts, pa.large_string())))
         at = owner(size, np.arange(len(cp)))
@@ -250,20 +257,24 @@ class Items:
         i, j = lookup.find(g)
         if not len(i):
             return (np.empty(0, np.int64),) * 4
-        n, least = self.letters, self.least
+        n = self.letters
         pad = int(n.max())
         p, item = p[i], lookup.item[j]
-        band = (p - edge[row[p]] - lookup.offset[j] + pad) // (self.k + 1)[item]
-        many = int(band.max()) + 2
-        key, c = np.unique((row[p] * len(n) + item) * many + band, return_counts=True)
-        after = np.append(key[1:] == key[:-1] + 1, False)
-        key = key[c + np.where(after, np.append(c[1:], 0), 0) >= least[key // many % len(n)]]
+        fine = (p - edge[row[p]] - lookup.offset[j] + pad) // self.width[item]
+        many = (int(fine.max()) + 2) // FINE * FINE + FINE
+        key, c = np.unique((row[p] * len(n) + item) * many + fine, return_counts=True)
+        item = key // many % len(n)
+        good = key[_two(key, c) >= self.near[item]] // FINE
+        first = np.flatnonzero(np.append(True, key[1:] // FINE != key[:-1] // FINE))
+        many //= FINE
+        key, c = key[first] // FINE, np.add.reduceat(c, first)
+        key = np.union1d(good, key[_two(key, c) >= self.wide[key // many % len(n)]])
         fresh = np.flatnonzero(np.append(True, key[1:] != key[:-1] + 1)) if len(key) else key
         place = np.arange(len(key)) - np.repeat(fresh, np.diff(np.append(fresh, len(key))))
         key = key[place % JOINED == 0]
         item, first = key // many % len(n), key % many
-        k = self.k[item]
-        return key // many // len(n), item, first * (k + 1) - pad - k, (first + JOINED + 1) * (k + 1) - pad + k + n[item]
+        k, width = self.k[item], self.width[item] * FINE
+        return key // many // len(n), item, first * width - pad - k, (first + JOINED + 1) * width - pad + k + n[item]
 
 
 def _matches(items: Items):
