@@ -38,6 +38,7 @@ SPECS: dict[str, Spec] = {
     "TRVL": Spec("TRAVEL", "TRAVELLER", "traveller", "travelInfoId", ("travelAmount", "parentAmount"), ("parentDt", "receivedDt"), "travelPurpose"),
     "ASSET": Spec("ASSET", None, None, "assetInfoId", (), ("receivedDt",), "assetDescr"),
 }
+# Names that stand for nobody.
 PLACEHOLDERS = ["NON-ITEMIZED CONTRIBUTOR", "UNITEMIZED", "ANONYMOUS", "UNKNOWN"]
 
 

@@ -60,10 +60,18 @@ def rules_for(record_type: str) -> list[Check]:
     return [c for name, *args in RULES[record_type] for c in kinds[name](*args)]
 
 
+def _each(checks: list[Check]) -> Column:
+    return F.array(*(F.when(~F.coalesce(c.good, F.lit(False)), F.struct(F.lit(c.type).alias("type"), F.lit(c.column).alias("column"), F.col(c.column).cast("string").alias("value"))) for c in checks))
+
+
 def validated(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Adds ``errors``."""
-    each = [F.when(~F.coalesce(c.good, F.lit(False)), F.struct(F.lit(c.type).alias("type"), F.lit(c.column).alias("column"), F.col(c.column).cast("string").alias("value"))) for c in checks]
-    return df.withColumn("errors", F.array_compact(F.array(*each)))
+    return df.withColumn("errors", F.array_compact(_each(checks)))
+
+
+def errors(df: DataFrame, checks: list[Check], keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ``keep`` columns with type, column and value of each error; every check is evaluated once."""
+    return df.select(*keep, F.inline(_each(checks))).where("type IS NOT NULL")
 
 
 def split(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, DataFrame]:

@@ -485,8 +485,8 @@ def persons_family(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {SOURCE} SELECT e AS error, COUNT(*) AS n FROM (SELECT unnest([CASE WHEN contributorPersentTypeCd NOT IN ('INDIVIDUAL', 'ENTITY') THEN 'type:contributorPersentTypeCd' END, CASE WHEN contributorPersentTypeCd = 'INDIVIDUAL' AND contributorNameLast IS NULL THEN 'missing:contributorNameLast' END, CASE WHEN contributorPersentTypeCd = 'ENTITY' AND contributorNameOrganization IS NULL THEN 'missing:contributorNameOrganization' END, CASE WHEN contributionDt IS NOT NULL AND (NOT regexp_matches(contributionDt, '^[0-9]{{8}}$') OR try_strptime(contributionDt, '%Y%m%d') IS NULL) THEN 'date:contributionDt' END]) AS e FROM src) WHERE e IS NOT NULL GROUP BY 1")
 def validate_errors(spark: SparkSession, sf: str) -> DataFrame:
-    _, failed = V.split(_source(spark, sf), V.rules_for("RCPT"))
-    return failed.select(F.explode("errors").alias("e")).groupBy(F.concat_ws(":", "e.type", "e.column").alias("error")).agg(F.count("*").alias("n"))
+    found = V.errors(_source(spark, sf), V.rules_for("RCPT"))
+    return found.groupBy(F.concat_ws(":", "type", "column").alias("error")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT COALESCE(o_orderpriority, 'Total') AS o_orderpriority, CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS F, COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS O, COUNT(*) AS Total FROM orders GROUP BY ROLLUP (o_orderpriority)")
@@ -756,3 +756,6 @@ def report_link(spark: SparkSession, sf: str) -> DataFrame:
 def final_reports(spark: SparkSession, sf: str) -> DataFrame:
     r = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("report_ident"), F.lit(False).alias("is_final"))
     return U.mark_final(r, table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("report_ident"))).select("o_orderkey", "is_final")
+
+
+from tallyforge import queries_surface as _surface  # noqa: E402, F401  registers its queries here

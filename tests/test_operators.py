@@ -131,3 +131,26 @@ def test_stream_first_write_wins(spark, tmp_path):
     feed.first_write_wins(spark.readStream.schema("k int, v string").parquet(src), to, at, ["k"], ["v"]).awaitTermination()
     assert rows(spark.read.parquet(to)) == [(1, "a"), (2, "d")]
     assert [n for n, _ in feed.run_stages([(2, "b", dict), (1, "a", dict)])] == ["a", "b"]
+
+
+def test_last_write_wins_keeps_a_whole_version(spark, tmp_path):
+    src, to, at = (str(tmp_path / x) for x in ("src", "to", "at"))
+    assert feed.latest(spark, to) is None
+    for n, rows in enumerate([[(1, "a", 1), (2, "b", 1)], [(2, "c", 2), (3, "d", 2)], [(1, "e", 3)]]):
+        spark.createDataFrame(rows, "k int, v string, n int").coalesce(1).write.mode("append").parquet(src)
+        feed.last_write_wins(spark.readStream.schema("k int, v string, n int").parquet(src), to, at, ["k"], ["n"]).awaitTermination()
+        if n == 1:  # a write that broke off leaves no success mark and is not read
+            (tmp_path / "to" / "v9").mkdir()
+    assert sorted(map(tuple, feed.latest(spark, to).collect())) == [(1, "e", 3), (2, "c", 2), (3, "d", 2)]
+
+
+def test_feed_does_not_take_an_error_for_an_empty_table(spark, tmp_path):
+    (tmp_path / "to").mkdir()
+    (tmp_path / "to" / "part-0.parquet").write_text("not a table")
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(str(tmp_path / "src"))
+    q = feed.first_write_wins(spark.readStream.schema("k int, v string").parquet(str(tmp_path / "src")), str(tmp_path / "to"), str(tmp_path / "at"), ["k"], ["v"])
+    try:
+        q.awaitTermination()
+        raise AssertionError("the broken table was read as empty")
+    except Exception as e:
+        assert "the broken table" not in str(e)
