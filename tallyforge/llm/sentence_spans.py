@@ -2,10 +2,12 @@
 
 A text is cut into pieces: a run of bytes other than ``. ! ?`` and newline, with the delimiters that
 follow it.  A piece with words (runs of bytes other than delimiters, space and 0x09-0x0D; A-Z as a-z)
-is a sentence.  Every run of k consecutive sentences with enough words is hashed, for each (k, words)
-of ``SPANS``; runs that occur more than once anywhere, the same document included, are repeated, and
-all but the first by (doc_id, position) have their sentences removed.  Two sentences of 16 words or
-three of 12 are long enough that chance repetition of short sentences doesn't count.
+is a sentence.  From every sentence on, these runs of consecutive sentences are hashed: the shortest one of two or more
+sentences with ``LEAST`` words, however many short sentences that takes; three sentences with ``THREE`` words; and the sentence
+alone, if it has ``ALONE`` words.  Longer runs repeat only where these do.  Runs that occur more than once anywhere, the
+same document included, are repeated, and all but the first by (doc_id, position) have their sentences removed.  The word
+minimums are long enough that chance repetition of short sentences doesn't count.  A repeat that shares no whole run
+with its original, as it begins and ends inside sentences, is not found.
 
 Scale: one row for each span is counted with partial aggregation, so a passage that a third of the
 documents share is one row for each task; the rows go back to their first occurrence by an
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.kernels import BASE, FOLDED, SEP, U, mix, owner, pieces, powers, rolling, runs, signed, span_hash, texts
 from tallyforge.plans.scratch import staged
 
-SPANS = ((2, 16), (3, 12))
+LEAST, THREE, ALONE = 16, 12, 20
 DELIM = np.zeros(256, bool)
 DELIM[list(b".!?\n")] = True
 
@@ -53,22 +55,32 @@ def sentences(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start[full], end[full], row[full], whole, n[full]
 
 
+def hashed_runs(row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and number of sentences of every run that is hashed, each once."""
+    m = len(row)
+    upto, at = np.concatenate(([0], np.cumsum(n))), np.arange(m)
+    stop = np.searchsorted(row, row, "right")
+    short = np.maximum(np.searchsorted(upto, upto[:-1] + LEAST), at + 2)
+    ok = short <= stop
+    first, size = [at[ok]], [(short - at)[ok]]
+    three = np.flatnonzero((at + 3 <= stop) & ~(ok & (short == at + 3)))
+    three = three[upto[three + 3] - upto[three] >= THREE]
+    alone = np.flatnonzero(n >= ALONE)
+    return np.concatenate([*first, three, alone]), np.concatenate([*size, np.full(len(three), 3), np.ones(len(alone), np.int64)])
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches):
         ids = b.column("doc_id").to_numpy(zero_copy_only=False)
         _, _, row, h, n = sentences(*texts(b.column("text")))
         pos = np.arange(len(row)) - np.searchsorted(row, row)
-        for k, least in SPANS:
-            m = len(row) - k + 1
-            if m <= 0:
-                continue
-            total, key = np.zeros(m, np.int64), np.full(m, k, U)
-            for j in range(k):
-                total += n[j : m + j]
-                key = key * BASE + h[j : m + j]
-            at = np.flatnonzero((row[:m] == row[k - 1 :]) & (total >= least))
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(signed(mix(key[at]))), pa.array(ids[row[at]]), pa.array(pos[at].astype(np.int32)), pa.array(np.full(len(at), k, np.int32))], ["h", "doc_id", "pos", "k"])
+        at, k = hashed_runs(row, n)
+        p, inverse = powers(len(h) + 1)
+        c = np.concatenate(([U(0)], np.cumsum(h * p[: len(h)], dtype=U)))
+        key = mix((c[at + k] - c[at]) * inverse[at] + k.astype(U) * BASE)
+        for i in range(0, len(at), 1 << 16):
+            own = slice(i, i + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key[own])), pa.array(ids[row[at[own]]]), pa.array(pos[at[own]].astype(np.int32)), pa.array(k[own].astype(np.int32))], ["h", "doc_id", "pos", "k"])
 
 
 def repeated(docs: DataFrame) -> DataFrame:
@@ -118,8 +130,11 @@ WITH t AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
 p AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^.!?\n]+[.!?\n]*')) AS piece, generate_subscripts(regexp_extract_all(text, '[^.!?\n]+[.!?\n]*'), 1) AS i FROM t),
 w AS (SELECT *, regexp_extract_all(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D.!?]+') AS ws FROM p),
 s AS (SELECT doc_id, i, len(ws) AS n, array_to_string(ws, ' ') AS norm, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos FROM w WHERE len(ws) > 0),
-l AS (SELECT *, LEAD(norm, 1) OVER d AS n1, LEAD(norm, 2) OVER d AS n2, LEAD(n, 1) OVER d AS c1, LEAD(n, 2) OVER d AS c2 FROM s WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-r AS (SELECT doc_id, pos, 2 AS k, norm || '.' || n1 AS key FROM l WHERE n + c1 >= 16 UNION ALL SELECT doc_id, pos, 3, norm || '.' || n1 || '.' || n2 FROM l WHERE n + c1 + c2 >= 12),
+u AS (SELECT *, SUM(n) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM s),
+e AS (SELECT x.doc_id, x.pos, MIN(y.pos) AS last FROM u x JOIN u y ON y.doc_id = x.doc_id AND y.pos BETWEEN x.pos + 1 AND x.pos + 16 AND y.upto - x.upto + x.n >= 16 GROUP BY 1, 2),
+l AS (SELECT *, LEAD(upto, 2) OVER (PARTITION BY doc_id ORDER BY pos) AS u2 FROM u),
+q AS (SELECT doc_id, pos, last - pos + 1 AS k FROM e UNION SELECT doc_id, pos, 3 FROM l WHERE u2 - upto + n >= 12 UNION SELECT doc_id, pos, 1 FROM u WHERE n >= 20),
+r AS (SELECT q.doc_id, q.pos, q.k, string_agg(s.norm, '.' ORDER BY s.pos) AS key FROM q JOIN s ON s.doc_id = q.doc_id AND s.pos BETWEEN q.pos AND q.pos + q.k - 1 GROUP BY 1, 2, 3),
 o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k, key ORDER BY doc_id, pos) AS rn FROM r),
 g AS (SELECT DISTINCT doc_id, pos + unnest(range(k)) AS pos FROM o WHERE rn > 1),
 m AS (SELECT s.*, g.pos IS NOT NULL AS gone FROM s LEFT JOIN g ON g.doc_id = s.doc_id AND g.pos = s.pos),

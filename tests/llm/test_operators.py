@@ -142,19 +142,27 @@ def test_sentence_spans(docs):
     for i, t in corpus():
         own = [w for p in re.findall(r"[^.!?\n]+", t or "") if (w := re.findall("[^\x20\x09-\x0d.!?]+", p.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))))]
         rows.append((i, own))
-    for k, least in sentence_spans.SPANS:
-        for i, own in rows:
-            for p in range(len(own) - k + 1):
-                span = own[p : p + k]
-                if sum(map(len, span)) >= least:
-                    key = (k, tuple(map(tuple, span)))
-                    if key in seen:
-                        gone.setdefault(i, set()).update(range(p, p + k))
-                    seen.add(key)
+    for i, own in rows:
+        for p in range(len(own)):
+            size = lambda k: sum(map(len, own[p : p + k])) if p + k <= len(own) else -1
+            ks = {min((k for k in range(2, 20) if size(k) >= 16), default=0), 3 if size(3) >= 12 else 0, 1 if size(1) >= 20 else 0} - {0}
+            for k in ks:
+                key = tuple(map(tuple, own[p : p + k]))
+                if key in seen:
+                    gone.setdefault(i, set()).update(range(p, p + k))
+                seen.add(key)
     got = {r.doc_id: (r.n_sentences, r.n_removed) for r in sentence_spans.digest(docs).collect()}
     assert got == {i: (len(own), len(gone.get(i, ()))) for i, own in rows} and gone
 
 
+def test_sentence_spans_of_short_and_of_single_sentences(spark):
+    short = " ".join(f"{a}{i} b{i} c{i}." for i in range(20) for a in "a")
+    single = " ".join(f"w{i}" for i in range(55))
+    rows = [(1, f"Begin here. {short} End."), (2, f"Other start one. {short} Other end."), (3, f"Say {single}. {single}. Stop"), (4, f"{single}. Go on")]
+    got = {r.doc_id: r.n_removed_words for r in sentence_spans.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 60, 3: 0, 4: 55}
+
+
 def test_mixing(spark, docs):
     for frame_ in (docs, docs.union(docs.where("doc_id < 20"))):
         out = mixing.mix_to_targets(frame_).collect()
