@@ -84,23 +84,25 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """``(doc_id, gone)``: the positions of the sentences to remove, for documents that have any."""
+    """``(doc_id, gone)``: the runs to remove, position << 32 | number of sentences, for documents that have any."""
     spans = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(_spans, "h long, doc_id long, pos int, k int")
     spans = staged(spans, "spans")
     first = spans.groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "pos")).alias("first")).where("c > 1").select("h", "first")
     later = spans.join(first, "h").where("struct(doc_id, pos) <> first")
-    gone = later.select("doc_id", F.explode(F.sequence("pos", F.col("pos") + F.col("k") - 1)).alias("p")).distinct()
-    return gone.groupBy("doc_id").agg(F.collect_set("p").alias("gone"))
+    return later.groupBy("doc_id").agg(F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("k").cast("long"))).alias("gone"))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches):
         buf, off = texts(b.column("text"))
         start, end, row, _, n = sentences(buf, off)
-        pos = np.arange(len(row)) - np.searchsorted(row, row)
         marks = b.column("gone")
         flat, width = marks.flatten().to_numpy(zero_copy_only=False), np.diff(marks.offsets.to_numpy())
-        drop = np.isin(row * (1 << 32) + pos, np.repeat(np.arange(b.num_rows), width) * (1 << 32) + flat)
+        at = np.searchsorted(row, np.repeat(np.arange(b.num_rows), width)) + (flat >> 32)
+        depth = np.zeros(len(row) + 1, np.int64)
+        np.add.at(depth, at, 1)
+        np.add.at(depth, at + (flat & 0xFFFFFFFF), -1)
+        drop = np.cumsum(depth[:-1]) > 0
         keep = np.zeros(len(buf) + 1, np.int32)
         np.add.at(keep, start[drop], 1)
         np.add.at(keep, end[drop], -1)
@@ -116,7 +118,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """``doc_id, kept, n_sentences, n_removed, n_removed_words``: every document with the text that stays."""
     docs = docs.select("doc_id", "text")
     marks = staged(repeated(docs), "marks")
-    rows = docs.join(marks.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
+    rows = docs.join(marks.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("gone", F.array().cast("array<long>")).alias("gone"))
     return rows.mapInArrow(_apply, "doc_id long, kept string, n_sentences long, n_removed long, n_removed_words long")
 
 
