@@ -124,7 +124,7 @@ def json_entries(spark: SparkSession, sf: str) -> DataFrame:
     return V.json_entries(o, "o_orderkey", "j")
 
 
-@query("SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT (SELECT CAST(ceil(COUNT(*) * 0.07) AS BIGINT) FROM customer)")
+@query("SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT (SELECT CAST(ceil(COUNT(*) * 0.07::DOUBLE) AS BIGINT) FROM customer)")
 def head_share(spark: SparkSession, sf: str) -> DataFrame:
     return V.head_share(table(spark, sf, "customer").select("c_custkey"), 0.07, ["c_custkey"])
 
