@@ -21,7 +21,7 @@ from tallyforge.llm import decontaminate, langid, line_dedup, mixing, ngram_join
 from tallyforge.llm.kernels import narrow_batches
 from tallyforge.plans.scratch import staged
 
-#: From so many characters on, a text that the network gives to no language goes.
+#: What the tests count as short; no rule here depends on it.
 LONG = 200
 
 
@@ -30,18 +30,14 @@ def _without(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are in no language: those without a letter, and those of ``LONG`` characters or more whose
-    pooled probability is hardly above chance for the best language (``langid.chance``).  Short texts with a low score
-    stay, since a low score comes from their length.  Without a labelled row nothing is learned, and letters alone decide."""
+    """Drops documents that are in no language: those without a letter, and those that the network, taught gibberish beside the
+    labelled languages, gives to none (``langid.in_no_language``), a text in another script included.  Every row is judged by
+    its own whole text; the shorter it is, the surer the network must be, and up to 64 bytes none goes.
+    Without a labelled row nothing is learned, and letters alone decide."""
     narrow_batches(spark)
-    langs, model = langid.learn(docs)
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    docs = docs.where(letters)
-    if not langs:
-        return docs
-    long_ = docs.where(F.col("doc_id").isNotNull() & (F.length("text") >= LONG))
-    said = langid.predict(long_.select("doc_id", "text", F.lit(False).alias("held")), langs, model)
-    return _without(docs, said.where(F.col("score") < langid.chance(len(langs))), "rejected")
+    sieve = langid.learn_sieve(docs)
+    docs = docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return docs.where(~langid.in_no_language(F.col("text"), sieve)) if sieve else docs
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

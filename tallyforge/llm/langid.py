@@ -11,6 +11,10 @@ Scale: after two small training jobs the prediction is one scan without a shuffl
 (a few kB) travels with the tasks.  Rows of any length are cut into segments, so memory depends
 on the batch and not on the longest text.
 
+``fit_sieve`` trains the same network with one more output, for text in no language, on as much gibberish as text, and
+``in_no_language`` judges texts of any length by it.  How sure the network is of one language says nothing there: languages
+that are hard to tell apart share their probability, while gibberish may look like one of them.
+
 Defined cases: null text, or text without a letter, is ``und`` with score 0; without labelled
 rows every row is ``und``; a null id counts as empty text for the fold.
 """
@@ -30,6 +34,10 @@ from tallyforge.llm.kernels import pieces, texts
 SEGMENT = 128
 PASSAGE = 1200
 STEP = np.float32
+#: So many neighbouring bytes are one witness for or against a language.
+WITNESS = 16
+#: First code point and length of a run of letters, script by script.
+SCRIPTS = [(0x3B1, 25), (0x430, 32), (0x561, 38), (0x5D0, 27), (0x628, 35), (0x905, 53), (0xE01, 46), (0x10D0, 33), (0x3041, 86), (0x4E00, 20902), (0xAC00, 11172)]
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -197,22 +205,96 @@ def segments_of(passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, np.uint8).reshape(len(rows), SEGMENT), np.array(at, np.int64)
 
 
-def fit(labelled: DataFrame, sample_docs: int = 1600, max_langs: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: float) -> tuple[list[str], dict[str, np.ndarray] | None]:
-    """Languages and model, from rows whose text and language are not null."""
+def _passages(labelled: DataFrame, sample_docs: int, max_langs: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
+    """Language and passage of the sampled rows, in an order of their own."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_langs).collect()}
     if not counts:
-        return [], None
+        return []
     share = sample_docs / len(counts)
     odds = F.coalesce(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.3 * share / n))])[F.col(lang_col)], F.lit(0.0))
     luck = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.lit(1 << 30))
     passage = F.substring(F.col(text_col), (F.pmod(luck, F.greatest(F.length(text_col) - PASSAGE, F.lit(0)) + 1) + 1).cast("int"), F.lit(PASSAGE))
     sample = rows.where(luck < odds * float(1 << 30)).select(luck.alias("luck"), F.col(lang_col).alias("lang"), passage.alias("passage")).orderBy("luck", "lang", "passage").limit(2 * sample_docs).collect()
-    langs = sorted({r["lang"] for r in sample})
-    segs, at = segments_of([r["passage"] for r in sample])
+    return [(r["lang"], r["passage"]) for r in sample]
+
+
+def fit(labelled: DataFrame, sample_docs: int = 1600, max_langs: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: float) -> tuple[list[str], dict[str, np.ndarray] | None]:
+    """Languages and model, from rows whose text and language are not null."""
+    sample = _passages(labelled, sample_docs, max_langs, id_col, text_col, lang_col)
+    langs = sorted({x for x, _ in sample})
+    segs, at = segments_of([x for _, x in sample])
     if not len(segs):
         return [], None
-    return langs, train(segs, np.array([langs.index(r["lang"]) for r in sample])[at], len(langs), **options)
+    return langs, train(segs, np.array([langs.index(x) for x, _ in sample])[at], len(langs), **options)
+
+
+def gibberish(passages: list[str], seed: int = 7) -> list[str]:
+    """A text in no language for each passage: its characters shuffled, its letters drawn anew from those of all passages, any
+    printable ASCII, or its letters replaced by those of a script that no passage uses."""
+    rng = np.random.default_rng(seed)
+    own = np.array(sorted({ord(c) for p in passages for c in p if c.isalpha()}), np.int64)
+    strange = [(low, n) for low, n in SCRIPTS if not ((own >= low) & (own < low + n)).any()]
+    out = []
+    for p in passages:
+        codes, letter, kind = np.array([ord(c) for c in p], np.int64), np.array([c.isalpha() for c in p], bool), rng.integers(4)
+        if kind == 0:
+            rng.shuffle(codes)
+        elif kind == 1 and len(own):
+            codes[letter] = rng.choice(own, int(letter.sum()))
+        elif kind == 3 and strange:
+            low, n = strange[rng.integers(len(strange))]
+            codes[letter] = low + rng.integers(0, n, int(letter.sum()))
+        else:
+            gap = rng.random(len(codes)) < 0.15 * rng.integers(2)
+            codes = np.where(gap, 32, rng.integers(33, 127, len(codes)))
+        out.append("".join(map(chr, codes)))
+    return out
+
+
+def fit_sieve(labelled: DataFrame, sample_docs: int = 1600, max_langs: int = 256, hidden: int = 8, rounds: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options: float) -> tuple[dict[str, np.ndarray], np.ndarray] | None:
+    """A network with one more output, for text in no language, and the room that each language's texts get; None without a
+    labelled row.  Every language has as many passages as the most frequent one, repeated if need be, and gibberish as many as
+    all.  Each eighth passage of a language is kept from training: at most one in 100 of these may be rejected, or the room grows.
+    A language of under eight passages gets all room."""
+    sample = _passages(labelled, sample_docs, max_langs, id_col, text_col, lang_col)
+    if not sample:
+        return None
+    langs, kept, own = sorted({x for x, _ in sample}), [], []
+    for k in langs:
+        at = [p for x, p in sample if x == k]
+        kept.append(at[7::8])
+        own.append([p for i, p in enumerate(at) if i % 8 != 7])
+    most = max(map(len, own))
+    real = [x[i % len(x)] for x in own for i in range(most)]
+    segs, at = segments_of(real + gibberish(real))
+    model = train(segs, np.repeat(np.arange(len(langs) + 1), [*[most] * len(langs), len(real)])[at], len(langs) + 1, hidden=hidden, rounds=rounds, **options)
+    reader = Reader(model)
+    over = [np.sort(excess(reader.documents(*texts(pa.array(x, pa.string())))[:, -1], np.array([len(p.encode()) for p in x]))) for x in kept]
+    return model, np.array([max(0.0, x[-1 - len(x) // 100]) if len(x) else np.inf for x in over])
+
+
+def excess(none: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """By how much the share of no language is above one half and a margin, two standard errors of the mean over ``size`` bytes
+    at their most, if ``WITNESS`` neighbours count as one."""
+    return none - 0.5 - np.sqrt(WITNESS / np.maximum(size, 1))
+
+
+def in_no_language(text: Column, sieve: tuple[dict[str, np.ndarray], np.ndarray]) -> Column:
+    """Whether the sieve rejects a text, from all its bytes."""
+    model, room = sieve
+
+    def read(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader = Reader(model)
+        for c in columns:
+            out = [np.zeros(0, bool)]
+            for b in pieces([pa.RecordBatch.from_arrays([c], ["text"])]):
+                buf, off = texts(b.column("text"))
+                p = reader.documents(buf, off)
+                out.append(excess(p[:, -1], np.diff(off)) > room[p[:, :-1].argmax(1)])
+            yield pa.array(np.concatenate(out))
+
+    return F.arrow_udf(read, T.BooleanType())(text)
 
 
 def predict(docs: DataFrame, langs: list[str], model: dict[str, np.ndarray] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,9 +320,9 @@ def learn(docs: DataFrame, folds: int = 4, held: int = 2, **options: float) -> t
     return fit(docs.select("doc_id", "text", "lang").where(fold("doc_id", folds) != held), **options)
 
 
-def chance(n_langs: int) -> float:
-    """A tenth of the way from even odds to certainty: a long text below it is in none of the languages."""
-    return 1 / n_langs + 0.1 * (1 - 1 / n_langs)
+def learn_sieve(docs: DataFrame, folds: int = 4, held: int = 2, **options: float) -> tuple[dict[str, np.ndarray], np.ndarray] | None:
+    """The sieve of all folds but ``held``."""
+    return fit_sieve(docs.select("doc_id", "text", "lang").where(fold("doc_id", folds) != held), **options)
 
 
 def identify(docs: DataFrame, folds: int = 4, held: int = 2, **options: float) -> DataFrame:

@@ -1,5 +1,6 @@
 """Every stage of the pipeline against brute force, with null ids, repeated rows, clashing columns and empty tables."""
 
+import random
 import re
 
 import corpus_pipeline as pipeline
@@ -42,6 +43,18 @@ def test_language_id(spark, rows, sf_dir):
     assert texts_of(pipeline.language_id(spark, unlabelled, sf_dir)) == letters
 
 
+def test_language_id_judges_each_text(spark, sf_dir):
+    """Texts in a language stay though their two labels can't be told apart; gibberish goes, without an id or beside a text of its id too."""
+    r = random.Random(5)
+    syllables = ["the", "an", "er", "on", "re", "st", "in", "ou", "ed", "ha"]
+    text = lambda: " ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(r.randint(80, 160)))
+    letters = lambda: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(90))
+    real = [(i, text()) for i in range(160)] + [(None, text()), (3, text())]
+    junk = [(1000 + i, letters()) for i in range(20)] + [(None, letters()), (7, letters())]
+    docs = frame(spark, real).unionByName(frame(spark, junk).withColumn("lang", pipeline.F.lit(None).cast("string")))
+    assert texts_of(pipeline.language_id(spark, docs, sf_dir)) == sorted(real, key=str)
+
+
 def test_line_dedup(spark, rows, sf_dir):
     got = texts_of(pipeline.line_deduplication(spark, frame(spark, rows), sf_dir))
     gone = line_dedup.brute_force(corpus())
